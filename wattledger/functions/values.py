@@ -16,12 +16,13 @@ def literal_map(pairs: dict[str, str]) -> Column:
 def to_number(text: Column) -> Column:
     """A double below AMOUNT_LIMIT, or null; never an error. Currency signs and separators
     are dropped; NaN and infinities are no amounts."""
-    number = F.translate(F.trim(text), "$,", "").try_cast("double")
+    # Most text needs no cleaning; the second branch is not computed for it.
+    number = F.coalesce(text.try_cast("double"), F.translate(text, "$,", "").try_cast("double"))
     return F.when(F.abs(number) < AMOUNT_LIMIT, number)
 
 
 def to_date(text: Column) -> Column:
-    return F.trim(text).try_cast("date")
+    return text.try_cast("date")
 
 
 def standard_commodity(text: Column) -> Column:

@@ -31,10 +31,16 @@ def _every(key: str, step: int) -> Column:
     return F.col(key) % step == 0
 
 
+def _with_orders(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
+    """Line items with their order. Orders grow with the line items, so they are never the
+    broadcast side: both are shuffled under the join, where a hot order can be split."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    return lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+
+
 def raw_bills(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    joined = _with_orders(spark, sf_dir, lines)
 
     all_missing = _every("l_orderkey", 211)
     text_of = F.array(*[F.lit(name) for name in ("electricity", "gas", "water")])
@@ -224,7 +230,7 @@ def json_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bill_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every bill line item printed in the wording of its vendor, as a text file. One in 97
     has no number, one in 83 no period, one in 211 is an empty form."""
-    order = table(spark, sf_dir, "lineitem")
+    lines = _with_orders(spark, sf_dir, table(spark, sf_dir, "lineitem"))
     number = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     wording = [
         F.concat(F.lit(before), number, F.lit(after))
@@ -242,7 +248,7 @@ def bill_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     unit_of = F.array(*[F.lit(name) for name in ("kWh", "THERMS", "gallons")])
     kind = (F.col("l_partkey") % 3).cast("int")
     shipped = F.col("l_shipdate").cast("date")
-    lines = F.concat_ws(
+    printed = F.concat_ws(
         "\n",
         F.lit("Utility bill"),
         F.when(~_every("l_orderkey", 97), F.get(F.array(*wording), which)),
@@ -264,26 +270,29 @@ def bill_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Subtotal: $"), subtotal.cast("string")),
         F.concat(F.lit("Tax: $"), tax.cast("string")),
         F.concat(F.lit("Total due: $"), (subtotal + tax).cast("string")),
-        F.concat(F.lit("Customer: STR-"), F.col("l_partkey").cast("string")),
+        F.concat(F.lit("Customer: STR-"), F.col("o_custkey").cast("string")),
     )
-    return order.select(
+    return lines.select(
         F.concat(number, F.lit(".pdf")).alias("file_path"),
         F.get(
             F.array(*[F.lit(name) for name in ("electricity", "gas", "water")]), kind
         ).alias("utility_type"),
         F.get(F.array(*[F.lit(c) for c in VENDOR_CODES]), which).alias("vendor_id"),
         F.when(_every("l_orderkey", 211), F.lit("Utility bill"))
-        .otherwise(lines)
+        .otherwise(printed)
         .cast("binary")
         .alias("content"),
     )
 
 
-def land(spark: SparkSession, rows: DataFrame, folder: str, mode: str = "errorifexists") -> None:
-    """Writes `text, bill_type, vendor_id` rows as one text file each (with a line end
-    after it) below bill_type=/vendor_id= folders."""
+def land(spark: SparkSession, rows: DataFrame, folder: str) -> None:
+    """Adds `text, bill_type, vendor_id` rows as one text file each (with a line end after
+    it) below bill_type=/vendor_id= folders. Opening files is the cost, so the rows are
+    spread over all cores by their text first."""
+    cores = spark.sparkContext.defaultParallelism
     (
-        rows.write.mode(mode)
+        rows.repartition(cores, "text")
+        .write.mode("append")
         .partitionBy("bill_type", "vendor_id")
         .option("maxRecordsPerFile", 1)
         .text(folder)

@@ -205,7 +205,7 @@ read AS (
 found AS (
   SELECT p.page_id, r.content, r.tag,
     CASE WHEN r.page_id IS NOT NULL
-         THEN row_number() OVER (PARTITION BY p.page_id ORDER BY r.at) - 1 END AS place
+         THEN row_number() OVER (PARTITION BY p.page_id ORDER BY r.place) - 1 END AS place
   FROM pages p LEFT JOIN (SELECT * FROM read WHERE content <> '') r ON p.page_id = r.page_id
 ),
 elements AS (
@@ -233,8 +233,8 @@ WITH printed AS (
     CASE l_partkey % 3 WHEN 0 THEN 'kWh' WHEN 1 THEN 'therms' ELSE 'gallons' END AS unit_name,
     CAST(l_extendedprice AS DECIMAL(18,2)) AS sub,
     CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(18,2)) AS tax2,
-    'STR-' || l_partkey AS store
-  FROM lineitem
+    'STR-' || o_custkey AS store
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 ),
 merged AS (
   SELECT num || '.pdf' AS source_file, commodity, vendor_id,

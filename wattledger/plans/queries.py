@@ -116,14 +116,16 @@ def _page_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _landed_twice(spark: SparkSession, sf_dir: str, label: str) -> tuple[str, str, str]:
-    """Pages landed and registered in two goes: (work folder, file root, registry)."""
+def _landed(
+    spark: SparkSession, sf_dir: str, label: str, goes: int = 1
+) -> tuple[str, str, str]:
+    """Pages landed and registered in one or several goes: (work folder, files, registry)."""
     work = new_folder(spark, label)
     root = f"{work}/files"
     registry = f"registry_{uuid.uuid4().hex}"
     pages = _page_files(spark, sf_dir)
-    for odd in (0, 1):
-        I.land(spark, pages.where(F.col("page_id") % 2 == odd).drop("page_id"), root, "append")
+    for go in range(goes):
+        I.land(spark, pages.where(F.col("page_id") % goes == go).drop("page_id"), root)
         J.register_files(
             spark, root, registry, f"{work}/landing", "*.txt", path=f"{work}/registry"
         )
@@ -132,16 +134,16 @@ def _landed_twice(spark: SparkSession, sf_dir: str, label: str) -> tuple[str, st
 
 @query
 def landing_stream(spark, sf_dir):
-    _, _, registry = _landed_twice(spark, sf_dir, "landing_stream")
+    _, _, registry = _landed(spark, sf_dir, "landing_stream", goes=2)
     return spark.table(registry).select("utility_type", "vendor_id", "file_size_bytes")
 
 
 @query
 def landing_audit(spark, sf_dir):
     """Files that arrived after the registry was last brought up to date, per folder."""
-    work, root, registry = _landed_twice(spark, sf_dir, "landing_audit")
+    work, root, registry = _landed(spark, sf_dir, "landing_audit")
     later = _page_files(spark, sf_dir).where(F.col("page_id") % 10 == 7)
-    I.land(spark, later.drop("page_id"), root, "append")
+    I.land(spark, later.drop("page_id"), root)
     found = unregistered_files(spark, root, spark.table(registry), "*.txt")
     return found.select(
         F.regexp_extract("file_path", "bill_type=([^/]*)/", 1).alias("utility_type"),
@@ -166,7 +168,7 @@ def partition_discovery(spark, sf_dir):
 def content_fetch(spark, sf_dir):
     """Bytes of registered files, one registry row in the tables' order having gone stale:
     for every file there is a second row whose file does not exist, and a repeated row."""
-    _, root, registry = _landed_twice(spark, sf_dir, "content_fetch")
+    _, root, registry = _landed(spark, sf_dir, "content_fetch")
     known = spark.table(registry)
     gone = known.withColumn("file_path", F.concat("file_path", F.lit(".gone")))
     fetched = fetch_content(spark, root, known.union(known).union(gone), "*.txt")
@@ -182,7 +184,7 @@ def _element_columns(rows: DataFrame) -> DataFrame:
 @query
 def element_stream(spark, sf_dir):
     """Both jobs in a row: files to registry, registry to elements."""
-    work, root, registry = _landed_twice(spark, sf_dir, "element_stream")
+    work, root, registry = _landed(spark, sf_dir, "element_stream")
     J.parse_registered(
         spark, registry, root, f"{work}/elements", f"{work}/parsing", E.parse_html, "*.txt"
     )
@@ -192,7 +194,7 @@ def element_stream(spark, sf_dir):
 @query
 def reprocess_equals_stream(spark, sf_dir):
     """The same, but with an unfit parser first; its batches are parsed again."""
-    work, root, registry = _landed_twice(spark, sf_dir, "reprocess")
+    work, root, registry = _landed(spark, sf_dir, "reprocess")
     elements = f"{work}/elements"
     written = J.parse_registered(
         spark, registry, root, elements, f"{work}/parsing", E.parse_lines, "*.txt"
