@@ -248,7 +248,7 @@ def batch_metrics(spark, sf_dir):
     work = new_folder(spark, "batch_metrics")
     written = S.write_each_batch(_event_stream(spark, sf_dir), f"{work}/events", f"{work}/progress")
     reported = spark.createDataFrame(list(written.items()), "batch_id bigint, reported bigint")
-    stored = spark.read.parquet(f"{work}/events").groupBy("batch_id").agg(
+    stored = S.read_batches(spark, f"{work}/events").groupBy("batch_id").agg(
         F.count(F.lit(1)).alias("stored")
     )
     both = stored.join(reported, "batch_id", "full")

@@ -68,6 +68,13 @@ def write_batch(
     return counted.get.get("rows", 0)
 
 
+def read_batches(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:
+    """What write_batch stored; the batch ID is a number again, whatever type the session
+    reads folder names as."""
+    stored = spark.read.format(file_format).load(path)
+    return stored.withColumn("batch_id", F.col("batch_id").cast("bigint"))
+
+
 def rewrite_batches(rows: DataFrame, path: str, file_format: str = "parquet") -> None:
     """Replaces exactly the partitions of the batch IDs that `rows` holds."""
     _batch_writer(rows, file_format).save(path)
