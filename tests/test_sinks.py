@@ -35,12 +35,21 @@ def test_empty_batch_counts_zero(spark, feed, tmp_path):
     assert ids(spark, f"{tmp_path}/out") == list(range(10))
 
 
+def test_batch_known_to_be_empty_counts_zero(spark, feed, tmp_path):
+    written = S.write_each_batch(
+        feed, f"{tmp_path}/out", f"{tmp_path}/cp", lambda batch: batch.where(F.lit(False))
+    )
+    assert written == {0: 0, 1: 0, 2: 0}
+
+
 @pytest.mark.parametrize("stop_at", [0, 1, 2])
-def test_replayed_batch_replaces_itself(spark, feed, tmp_path, stop_at):
+@pytest.mark.parametrize("named", [False, True])
+def test_replayed_batch_replaces_itself(spark, feed, tmp_path, stop_at, named):
     stopped = []
+    target = f"sinks.out_{stop_at}" if named else f"{tmp_path}/out"
 
     def write(batch, batch_id):
-        S.write_batch(batch, batch_id, f"{tmp_path}/out")
+        S.write_batch(batch, batch_id, target)
         if batch_id == stop_at and not stopped:
             stopped.append(batch_id)
             raise RuntimeError("stopped")
@@ -49,7 +58,9 @@ def test_replayed_batch_replaces_itself(spark, feed, tmp_path, stop_at):
         S.run_to_end(feed.writeStream.foreachBatch(write), f"{tmp_path}/cp")
     S.run_to_end(feed.writeStream.foreachBatch(write), f"{tmp_path}/cp")
     assert stopped == [stop_at]
-    assert ids(spark, f"{tmp_path}/out") == list(range(30))
+    stored = S.read_batches(spark, target).groupBy("batch_id").count().collect()
+    assert {r.batch_id: r["count"] for r in stored} == {0: 10, 1: 10, 2: 10}
+    assert sorted(r.id for r in S.read_batches(spark, target).collect()) == list(range(30))
 
 
 def test_table_to_table_is_incremental(spark, feed, tmp_path):

@@ -288,10 +288,10 @@ def bill_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def land(spark: SparkSession, rows: DataFrame, folder: str) -> None:
     """Adds `text, bill_type, vendor_id` rows as one text file each (with a line end after
     it) below bill_type=/vendor_id= folders. Opening files is the cost, so the rows are
-    spread over all cores by their text first."""
+    dealt out evenly over all cores first."""
     cores = spark.sparkContext.defaultParallelism
     (
-        rows.repartition(cores, "text")
+        rows.repartition(cores)
         .write.mode("append")
         .partitionBy("bill_type", "vendor_id")
         .option("maxRecordsPerFile", 1)

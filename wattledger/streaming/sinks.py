@@ -2,7 +2,7 @@
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -36,64 +36,84 @@ def _wait(query: StreamingQuery) -> StreamingQuery:
     return query
 
 
-def _batch_writer(
-    rows: DataFrame, file_format: str, partitions: Sequence[str] = ()
-) -> DataFrameWriter:
-    return (
-        rows.write.format(file_format)
-        .mode("overwrite")
-        .partitionBy(*partitions, "batch_id")
-        .option("partitionOverwriteMode", "dynamic")
-    )
+def _is_path(target: str) -> bool:
+    return "/" in target
+
+
+def _overwrite_batches(
+    rows: DataFrame, target: str, file_format: str, partitions: Sequence[str] = ()
+) -> None:
+    """Replaces the partitions that `rows` holds, in a folder or a named table."""
+    folders = [*partitions, "batch_id"]
+    if _is_path(target):
+        writer = rows.write.format(file_format).mode("overwrite").partitionBy(*folders)
+        writer.option("partitionOverwriteMode", "dynamic").save(target)
+        return
+    spark = rows.sparkSession
+    ensure_schema(spark, target)
+    if not spark.catalog.tableExists(target):
+        empty = spark.createDataFrame([], rows.schema).write.format(file_format)
+        empty.partitionBy(*folders).saveAsTable(target)
+    # Inserting goes by position, and a table keeps its partition columns last.
+    ordered = rows.select(*spark.table(target).columns)
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        ordered.write.mode("overwrite").insertInto(target)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
 
 
 def write_batch(
     rows: DataFrame,
     batch_id: int,
-    path: str,
+    target: str,
     file_format: str = "parquet",
     partitions: Sequence[str] = (),
 ) -> int:
-    """Writes one batch as its own partition and returns its row count.
+    """Writes one batch as its own partition of a folder (a target with a slash) or a named
+    table, and returns its row count.
 
     A batch that runs again, because the stream stopped between the write and the commit,
-    replaces itself. Batch IDs belong to one checkpoint, so a folder does too. The count
+    replaces itself. Batch IDs belong to one checkpoint, so a target does too. The count
     is taken while writing, not by running the batch a second time; an empty batch writes
     nothing and counts 0.
     """
     counted = Observation()
     stamped = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     stamped = stamped.observe(counted, F.count(F.lit(1)).alias("rows"))
-    _batch_writer(stamped, file_format, partitions).save(path)
+    _overwrite_batches(stamped, target, file_format, partitions)
     return counted.get.get("rows", 0)
 
 
-def read_batches(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:
+def read_batches(spark: SparkSession, target: str, file_format: str = "parquet") -> DataFrame:
     """What write_batch stored; the batch ID is a number again, whatever type the session
     reads folder names as."""
-    stored = spark.read.format(file_format).load(path)
+    stored = (
+        spark.read.format(file_format).load(target) if _is_path(target) else spark.table(target)
+    )
     return stored.withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
 
-def rewrite_batches(rows: DataFrame, path: str, file_format: str = "parquet") -> None:
+def rewrite_batches(rows: DataFrame, target: str, file_format: str = "parquet") -> None:
     """Replaces exactly the partitions of the batch IDs that `rows` holds."""
-    _batch_writer(rows, file_format).save(path)
+    _overwrite_batches(rows, target, file_format)
 
 
 def write_each_batch(
     stream: DataFrame,
-    path: str,
+    target: str,
     checkpoint: str,
     transform: Callable[[DataFrame], DataFrame] | None = None,
     file_format: str = "parquet",
 ) -> dict[int, int]:
-    """Runs a stream to its end into `path`, each batch through `transform`; returns the
+    """Runs a stream to its end into `target`, each batch through `transform`; returns the
     rows written per batch."""
     written: dict[int, int] = {}
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch if transform is None else transform(batch)
-        written[batch_id] = write_batch(rows, batch_id, path, file_format)
+        written[batch_id] = write_batch(rows, batch_id, target, file_format)
 
     run_to_end(stream.writeStream.foreachBatch(write), checkpoint)
     return written
