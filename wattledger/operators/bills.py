@@ -4,6 +4,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from wattledger.functions.paths import FILE_NAME_PARTS, file_name_part, last_segment
 from wattledger.functions.quality import (
@@ -23,7 +24,7 @@ from wattledger.functions.values import (
     to_number,
 )
 from wattledger.operators.joins import join_groups, join_lookup
-from wattledger.schemas import CLEAN_BILL
+from wattledger.schemas import CLEAN_BILL, EXTRACTED_BILL
 
 INGESTION_TIMES = ("ingestion_ts", "silver_ingestion_ts")
 PERIOD_KEYS = ("building_id", "commodity", "bill_start_date", "bill_end_date")
@@ -86,16 +87,28 @@ def flag_bills(bills: DataFrame) -> DataFrame:
     return bills.withColumns(quality_flags())
 
 
+def _in_layout(rows: DataFrame, layout: StructType) -> DataFrame:
+    return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in layout])
+
+
+def extracted_layout(enriched: DataFrame) -> DataFrame:
+    """EXTRACTED_BILL rows from extracted bills with `building_id` and `vendor` added. The
+    layout wants a vendor on every row, so an unknown vendor is shown by its ID."""
+    return _in_layout(
+        enriched.withColumn("vendor", F.coalesce("vendor", "vendor_id")), EXTRACTED_BILL
+    )
+
+
 def clean_bills(enriched: DataFrame) -> DataFrame:
-    """CLEAN_BILL rows from typed, copy-free, enriched bills. The layout wants a vendor on
-    every row, so an unknown vendor is shown by its ID."""
+    """CLEAN_BILL rows from typed, copy-free, enriched bills, an unknown vendor again shown
+    by its ID."""
     flagged = flag_bills(enriched).withColumns(
         {
             "vendor": F.coalesce("vendor", "vendor_id"),
             "silver_ingestion_ts": F.current_timestamp(),
         }
     )
-    return flagged.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in CLEAN_BILL])
+    return _in_layout(flagged, CLEAN_BILL)
 
 
 def partition_mismatches(bills: DataFrame) -> DataFrame:

@@ -50,6 +50,8 @@ def plain(rows: DataFrame) -> DataFrame:
 
 def query(function: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        # The tables hold local times; read as UTC they are the same instants everywhere.
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
         return plain(function(spark, sf_dir))
 
     QUERIES[function.__name__] = run

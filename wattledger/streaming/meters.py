@@ -9,14 +9,15 @@ from wattledger.operators.meters import METER_KEY, flag_intervals
 THINNING_PARTS = 16
 
 
-def first_arrivals(reads: DataFrame, lateness: str = "1 day", thin: bool = False) -> DataFrame:
+def first_arrivals(reads: DataFrame, lateness: str = "1 day", thin: bool = True) -> DataFrame:
     """The first reading to arrive for each meter and instant.
 
     State is kept per reading until the watermark passes it, so it is bounded by the
     readings of `lateness`. Which copy is first depends on arrival; dedup_intervals gives
     the ranked choice in batch, and takes readings that were later than the watermark.
-    With `thin`, copies are dropped per input task group first, so that one reading sent
-    over and over does not send every copy to one task; that costs a second state store.
+    With `thin`, copies are dropped per group of input tasks first, so that one reading sent
+    over and over does not send every copy to one task. That costs a second state store; a
+    feed that repeats little can do without.
     """
     timed = reads.withWatermark("timestamp", lateness)
     if thin:
