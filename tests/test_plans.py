@@ -104,8 +104,13 @@ def test_figures_joined_back_without_windows(spark, sf_dir):
     assert "Window" not in plan_text(B.duplicate_bills(hot_bills(spark)), "simple")
 
 
-def test_dedup_shuffle_is_shared(spark, sf_dir):
-    """Totals and rows of the anomaly report come from one shuffle of the bills."""
-    report = R.unusual_consumption(I.bills(spark, sf_dir))
-    report.collect()
-    assert "ReusedExchange" in plan_text(report, "simple")
+@pytest.mark.parametrize(
+    "name", ["consumption_anomaly", "duplicate_bills", "clean_bills", "usage_trend", "dq_summary"]
+)
+def test_bills_are_made_once(spark, sf_dir, name):
+    """Reports that join bills back to figures of the same bills read them stored."""
+    frame = driver.queries()[name](spark, sf_dir)
+    frame.collect()
+    run = plan_text(frame, "simple").split("Initial Plan")[0]
+    twice = name in ("consumption_anomaly", "duplicate_bills")
+    assert run.count("lineitem.parquet") == (0 if twice else 1)

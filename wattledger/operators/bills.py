@@ -174,7 +174,8 @@ def duplicate_bills(bills: DataFrame, spread_by: Sequence[str] = ("bill_id",)) -
 
     Rows without a building, a date or an ID cannot be told apart and are left out. The
     groups are found by an aggregate (not a window, which would put a whole group into
-    one task) and only the offending ones are joined back.
+    one task) and only the offending ones are joined back. The bills are read twice: pass a
+    stored table.
     """
     known = bills.dropna(subset=[*PERIOD_KEYS, "bill_id"])
     groups = (

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattledger.operators.bills import add_buildings, add_vendors, drop_exact_copies, type_bills
+from wattledger.session import new_folder
 
 VENDOR_CODES = ("CPC001", "REC002", "MGU001", "NGS002", "AMW001")
 
@@ -137,6 +138,14 @@ def enriched_bills(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_vendors(mapped, vendors(spark, sf_dir))
 
 
+def stored(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
+    """Rows written to the shared folder and read from there, for a report that reads its
+    bills twice: what made them then runs once."""
+    folder = new_folder(spark, label)
+    rows.write.parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder)
+
+
 def meter_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event is a reading; one in 20 comes again, late and with another value."""
     events = table(spark, sf_dir, "events")

@@ -1,6 +1,12 @@
 """The SQL each query must agree with, over the same tables read by another engine."""
 
-from wattledger.operators.elements import HTML_BLOCK, HTML_BREAK, HTML_BLOCKS, HTML_INLINE, HTML_INVISIBLE
+from wattledger.operators.elements import (
+    HTML_BLOCK,
+    HTML_BLOCKS,
+    HTML_BREAK,
+    HTML_INLINE,
+    HTML_INVISIBLE,
+)
 from wattledger.schemas import VENDOR_PARSER
 
 
@@ -330,7 +336,7 @@ ORACLE_SQL: dict[str, str] = {
         f"SELECT {_BILL_COLUMNS}, 1700000000000000 AS ingestion_ts FROM bills"
     ),
     "quality_flags": _on_bills(f"SELECT source_file, bill_id, {_FLAGS} FROM bills"),
-    "parse_status_counts": _on_bills(f"""
+    "parse_status": _on_bills(f"""
         SELECT {_STATUS} AS parse_status, count(*) AS bills, count(DISTINCT {_MISSING}) AS kinds
         FROM bills GROUP BY 1"""),
     "partition_crosscheck": _on_bills("""

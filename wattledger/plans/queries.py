@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattledger.functions.quality import missing_fields, parse_status
+from wattledger.functions import quality
 from wattledger.operators import bills as B
 from wattledger.operators import elements as E
 from wattledger.operators import extract as X
@@ -328,9 +328,10 @@ def quality_flags(spark, sf_dir):
 
 
 @query
-def parse_status_counts(spark, sf_dir):
+def parse_status(spark, sf_dir):
     judged = I.bills(spark, sf_dir).select(
-        parse_status().alias("parse_status"), missing_fields().alias("missing_fields")
+        quality.parse_status().alias("parse_status"),
+        quality.missing_fields().alias("missing_fields"),
     )
     return judged.groupBy("parse_status").agg(
         F.count(F.lit(1)).alias("bills"),
@@ -437,7 +438,8 @@ def dq_summary(spark, sf_dir):
 @query
 def duplicate_bills(spark, sf_dir):
     mapped = B.add_buildings(I.bills(spark, sf_dir), I.buildings(spark, sf_dir))
-    return B.duplicate_bills(mapped).select(
+    needed = mapped.select(*B.PERIOD_KEYS, "bill_id", "source_file")
+    return B.duplicate_bills(I.stored(spark, needed, "duplicate_bills")).select(
         *B.PERIOD_KEYS, "bill_id", "first_bill_id", "last_bill_id", "bills_in_period", "source_file"
     )
 
@@ -497,9 +499,10 @@ def usage_trend(spark, sf_dir):
 
 @query
 def consumption_anomaly(spark, sf_dir):
-    return R.unusual_consumption(I.bills(spark, sf_dir)).select(
-        "vendor_id", "commodity", "source_file", "bill_id", "consumption", "z_score"
+    needed = I.bills(spark, sf_dir).select(
+        "vendor_id", "commodity", "source_file", "bill_id", "consumption"
     )
+    return R.unusual_consumption(I.stored(spark, needed, "consumption_anomaly"))
 
 
 @query
