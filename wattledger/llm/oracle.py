@@ -51,3 +51,39 @@ WITH rules(host, path, verdict) AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
 FROM split LEFT JOIN best USING (n)
 """
+
+ORACLE_SQL["op3_vector_search"] = r"""
+WITH good AS (
+    SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), asking AS (
+    SELECT vec_id, min(v) AS v FROM good WHERE vec_id % 50 = 0 GROUP BY vec_id
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)
+        / (sqrt(list_inner_product(q.v, q.v)) * sqrt(list_inner_product(c.v, c.v))) AS score
+    FROM asking q JOIN good c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+)
+SELECT query_id, (row_number() OVER w)::INTEGER AS rank, vec_id, score
+FROM scored
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY rank <= 5
+"""
+
+ORACLE_SQL["op8_exact_topk"] = r"""
+WITH good AS (
+    SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), asking AS (
+    SELECT vec_id, min(v) AS v FROM good WHERE vec_id % 50 = 0 GROUP BY vec_id
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+    FROM asking q JOIN good c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+)
+SELECT query_id, (row_number() OVER w)::INTEGER AS rank, vec_id, score
+FROM scored
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY rank <= 5
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattledger.llm import chat_format, url_filter
+from wattledger.llm import chat_format, exact_topk, url_filter, vector_search
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -82,3 +82,15 @@ URL_RULES = (
 def op6_url_filter(spark, sf_dir):
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
+@query
+def op3_vector_search(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return vector_search.nearest(vectors, F.col("vec_id") % 50 == 0, 5)
+
+
+@query
+def op8_exact_topk(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return exact_topk.top_products(vectors, F.col("vec_id") % 50 == 0, 5)
