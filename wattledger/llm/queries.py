@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattledger.llm import chat_format, exact_topk, url_filter, vector_search
+from wattledger.llm import (
+    bpe_codec,
+    chat_format,
+    exact_topk,
+    packing,
+    url_filter,
+    vector_search,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -94,3 +102,24 @@ def op3_vector_search(spark, sf_dir):
 def op8_exact_topk(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     return exact_topk.top_products(vectors, F.col("vec_id") % 50 == 0, 5)
+
+
+@query
+def op7_best_fit_packing(spark, sf_dir):
+    return packing.pack_documents(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.PATTERN,
+    )
+
+
+@query
+def op9_bpe_codec(spark, sf_dir):
+    vocabulary = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    encoded = bpe_codec.encode_texts(table(spark, sf_dir, "documents"), *vocabulary)
+    return bpe_codec.decode_ids(encoded, *vocabulary).select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
