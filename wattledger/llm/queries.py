@@ -13,6 +13,8 @@ from wattledger.llm import (
     chat_format,
     exact_topk,
     packing,
+    secret_scan,
+    toxicity,
     url_filter,
     vector_search,
 )
@@ -123,3 +125,29 @@ def op9_bpe_codec(spark, sf_dir):
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op4_secret_scan(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = secret_scan.scan(docs, secret_scan.common_words(docs))
+    return found.select(
+        "doc_id",
+        "n_assign",
+        "n_access",
+        "n_hex",
+        hex_sha256("base_spans").alias("base_sha256"),
+        "spans",
+    )
+
+
+@query
+def op10_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return toxicity.score_texts(docs, model).select(
+        "doc_id",
+        toxicity.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
