@@ -12,6 +12,7 @@ from wattledger.llm import (
     bpe_codec,
     chat_format,
     exact_topk,
+    near_dedup,
     packing,
     secret_scan,
     toxicity,
@@ -151,3 +152,8 @@ def op10_toxicity(spark, sf_dir):
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query
+def op5_near_dedup(spark, sf_dir):
+    return near_dedup.group_documents(table(spark, sf_dir, "documents"))
