@@ -15,6 +15,7 @@ from wattledger.llm import (
     near_dedup,
     packing,
     secret_scan,
+    substring_dedup,
     toxicity,
     url_filter,
     vector_search,
@@ -37,6 +38,13 @@ def hex_sha256(text: str | F.Column) -> F.Column:
     return F.sha2(F.encode(text, "UTF-8"), 256)
 
 
+@query
+def op1_substring_dedup(spark, sf_dir):
+    return substring_dedup.keep_first(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", hex_sha256("kept").alias("kept_sha256")
+    )
+
+
 @query
 def op2_chat_format(spark, sf_dir):
     """Conversations and one that holds control strings, formatted, expanded and read back."""
