@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wattledger.llm.texts import with_texts
+
 #: In the order in which spans of equal start are listed.
 KINDS = ("assign", "access", "hex", "guess")
 
@@ -235,19 +237,22 @@ def redacted(text: str, spans: list[tuple[str, int, int]], mark: str) -> str:
     return "".join([*pieces, text[at:]])
 
 
-def redact_texts(docs: DataFrame, words: list[str], mark: str = "[SECRET]") -> DataFrame:
+def redact_texts(
+    docs: DataFrame, words: list[str], length: str | None = None, mark: str = "[SECRET]"
+) -> DataFrame:
     """docs with every secret in `text` replaced by the mark. Other columns and texts without
-    secrets stay as they are, null texts too."""
+    secrets stay as they are, null texts too. length: a column that holds a text's code points,
+    to be kept right where a text changes."""
 
     def cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         costs = GuessCost(words)
         for batch in batches:
-            at = batch.schema.get_field_index("text")
-            texts = []
-            for text in batch.column(at).to_pylist():
+            changed = {}
+            texts = batch.column("text").to_pylist()
+            for k, text in enumerate(texts):
                 spans = base_spans(text) + guess_spans(text, costs) if text else []
-                texts.append(redacted(text, spans, mark) if spans else text)
-            field = batch.schema.field(at)
-            yield batch.set_column(at, field, pa.array(texts, field.type))
+                if spans:
+                    changed[k] = redacted(text, spans, mark)
+            yield with_texts(batch, changed, length)
 
     return docs.mapInArrow(cleaned, docs.schema)

@@ -33,11 +33,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattledger.llm.stored import stored
+from wattledger.llm.texts import with_texts
 from wattledger.llm.words import Words, chunks, mix, sliding_minimum, windows
 
 WINDOW = 13
 ANCHOR_WORDS = 5
 
+#: The column that carries repeated spans to the texts; no table should have one like it.
+SPANS = "_repeated_spans"
+
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -210,15 +214,16 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 
 
 def _with_spans(docs: DataFrame) -> DataFrame:
-    """docs and `spans`: each document's repeated spans (null if there are none)."""
+    """docs and SPANS: each document's repeated spans (null if there are none)."""
     spans = stored(
         repeated_spans(docs)
         .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("start", "edges")).alias("spans"))
-        .withColumnRenamed("doc_id", "spans_of"),
+        .agg(F.collect_list(F.struct("start", "edges")).alias(SPANS)),
         "spans",
     )
-    return docs.join(spans, F.col("doc_id") == F.col("spans_of"), "left").drop("spans_of")
+    return docs.join(spans, docs["doc_id"] == spans["doc_id"], "left").select(
+        *[docs[name] for name in docs.columns], spans[SPANS]
+    )
 
 
 def _removed(words: int, spans: list[dict] | None) -> np.ndarray:
@@ -237,7 +242,7 @@ def keep_first(docs: DataFrame) -> DataFrame:
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             totals, removals, texts = [], [], []
-            for text, spans in zip(batch.column("text"), batch.column("spans")):
+            for text, spans in zip(batch.column("text"), batch.column(SPANS)):
                 words = (text.as_py() or "").encode().split()
                 gone = _removed(len(words), spans.as_py())
                 removals.append(int(gone.sum()))
@@ -268,23 +273,15 @@ def drop_repeats(docs: DataFrame, length: str | None = None) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.schema.get_field_index("text")
-            texts = []
-            for text, spans in zip(batch.column(at), batch.column("spans")):
-                text, spans = text.as_py(), spans.as_py()
-                texts.append(cut_words(text, spans) if text and spans else text)
-            fields = [n for n in batch.schema.names if n != "spans"]
-            out = batch.select(fields)
-            field = out.schema.field(at)
-            out = out.set_column(at, field, pa.array(texts, field.type))
-            if length:
-                at = out.schema.get_field_index(length)
-                field = out.schema.field(at)
-                sizes = [None if t is None else len(t) for t in texts]
-                out = out.set_column(at, field, pa.array(sizes, field.type))
-            yield out
-
-    return _with_spans(docs).select(*docs.columns, "spans").mapInArrow(cut, docs.schema)
+            changed = {}
+            for row, spans in enumerate(batch.column(SPANS)):
+                text = batch.column("text")[row].as_py() if spans.is_valid else None
+                if text:
+                    changed[row] = cut_words(text, spans.as_py())
+            names = [name for name in batch.schema.names if name != SPANS]
+            yield with_texts(batch.select(names), changed, length)
+
+    return _with_spans(docs).mapInArrow(cut, docs.schema)
 
 
 def cut_words(text: str, spans: list[dict]) -> str:
