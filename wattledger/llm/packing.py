@@ -34,25 +34,35 @@ from wattledger.llm.stored import stored
 SHARES = 64
 #: Matches of at most so many characters are kept with their ids, at most so many per worker.
 KEPT_CHARS = 48
-KEPT_MATCHES = 400_000
+KEPT_MATCHES = 1_000_000
+
+
+def byte_letters() -> dict[int, str]:
+    """The letters that a byte-level tokenizer writes bytes with: printable ones for
+    themselves, the others from U+0100 on, in order."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [byte for byte in range(256) if byte not in printable]
+    return {byte: chr(byte) for byte in printable} | {
+        byte: chr(256 + place) for place, byte in enumerate(others)
+    }
 
 
 class PieceIds(dict):
     """Match of the pattern -> its ids as little-endian 32-bit numbers. The pre-tokenizer
-    encodes matches apart, so a text's ids are those of its matches in a row."""
+    encodes matches apart, so a text's ids are those its model gives its matches, in a row.
+    Names of special tokens in a text are ordinary text."""
 
     def __init__(self, path: str, pattern: str):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
-        # Names of special tokens in a text are ordinary text.
-        self.tokenizer.encode_special_tokens = True
+        self.model = Tokenizer.from_file(path).model
+        self.letters = byte_letters()
         self.findall = regex.compile(pattern).findall
 
     def __missing__(self, match: str) -> bytes:
-        ids = self.tokenizer.encode(match, add_special_tokens=False).ids
-        ids = np.array(ids, dtype="<u4").tobytes()
+        written = match.encode().decode("latin-1").translate(self.letters)
+        ids = b"".join(token.id.to_bytes(4, "little") for token in self.model.tokenize(written))
         if len(match) <= KEPT_CHARS:
             if len(self) >= KEPT_MATCHES:
                 self.clear()
