@@ -34,7 +34,9 @@ from pyspark.sql import functions as F
 LEAF_BYTES = 24
 #: Matches of at most so many characters are kept, and at most so many of them.
 KEPT_CHARS = 48
-KEPT_MATCHES = 300_000
+KEPT_MATCHES = 500_000
+#: Above every rank: a pair that is no token.
+NONE = 1 << 32
 #: A text longer than this is matched piece by piece instead of into one list.
 LISTED_CHARS = 1 << 20
 
@@ -74,16 +76,9 @@ class TreeEncoder:
         """Plain BPE: of all neighbours the pair of lowest rank is merged, the first of equals,
         until none has a rank. A heap holds the pairs, so long runs take n log n steps."""
         ranks = self.ranks
+        if len(data) <= LEAF_BYTES:
+            return self.merge_few(data)
         parts: list[bytes | None] = [data[i : i + 1] for i in range(len(data))]
-        if len(parts) <= LEAF_BYTES:
-            while len(parts) > 1:
-                found = [ranks.get(a + b, -1) for a, b in zip(parts, parts[1:])]
-                known = [rank for rank in found if rank >= 0]
-                if not known:
-                    break
-                at = found.index(min(known))
-                parts[at : at + 2] = [parts[at] + parts[at + 1]]
-            return [ranks[part] for part in parts]
         after = list(range(1, len(parts) + 1))
         before = list(range(-1, len(parts) - 1))
         pairs = []
@@ -114,6 +109,24 @@ class TreeEncoder:
                 offer(before[i])
         return [ranks[part] for part in parts if part is not None]
 
+    def merge_few(self, data: bytes) -> list[int]:
+        """merge() for a few bytes: the pairs' ranks stand in a list."""
+        rank = self.ranks.get
+        parts = [data[i : i + 1] for i in range(len(data))]
+        pairs = [rank(data[i : i + 2], NONE) for i in range(len(data) - 1)]
+        while pairs:
+            least = min(pairs)
+            if least == NONE:
+                break
+            at = pairs.index(least)
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del pairs[at]
+            if at < len(pairs):
+                pairs[at] = rank(parts[at] + parts[at + 1], NONE)
+            if at:
+                pairs[at - 1] = rank(parts[at - 1] + parts[at], NONE)
+        return [self.ranks[part] for part in parts]
+
     def decode(self, ids: list[int]) -> bytes:
         if len(ids) <= 512:
             return b"".join(map(self.strings.__getitem__, ids))
@@ -132,7 +145,7 @@ class TextEncoder(dict):
         self.pattern = regex.compile(pattern)
 
     def __missing__(self, match: str) -> bytes:
-        ids = np.array(self.tree.encode(match.encode()), dtype="<u4").tobytes()
+        ids = b"".join(i.to_bytes(4, "little") for i in self.tree.encode(match.encode()))
         if len(match) <= KEPT_CHARS:
             if len(self) >= KEPT_MATCHES:
                 self.clear()
