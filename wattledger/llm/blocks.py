@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wattledger.llm.workers import map_batches
+
 QUERY_ROWS = 128
 CANDIDATE_ROWS = 512
 
@@ -66,7 +68,7 @@ def pack(vectors: DataFrame, rows: int, shards: int) -> DataFrame:
         for dim in list(held):
             yield block(dim)
 
-    return vectors.select("vec_id", "vector", "extra").mapInArrow(blocks, BLOCK_SCHEMA)
+    return map_batches(vectors.select("vec_id", "vector", "extra"), blocks, BLOCK_SCHEMA)
 
 
 def ids_of(block: bytes) -> np.ndarray:
@@ -147,7 +149,7 @@ def block_join(
         if best.heaps:
             yield best.batch(score_type)
 
-    return pairs.mapInArrow(search, f"query_id long, vec_id long, score {score}")
+    return map_batches(pairs, search, f"query_id long, vec_id long, score {score}")
 
 
 def ranked(lists: DataFrame, count: int) -> DataFrame:

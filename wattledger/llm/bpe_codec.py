@@ -30,6 +30,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wattledger.llm.workers import map_batches
+
 #: Up to this many bytes are merged pair by pair; longer matches are halved.
 LEAF_BYTES = 24
 #: Matches of at most so many characters are kept, and at most so many of them.
@@ -185,7 +187,7 @@ def encode_texts(
 
     read = docs.select(*keep, "text")
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in read.schema.fields[:-1])
-    return read.mapInArrow(encode, f"{kept}, ids binary")
+    return map_batches(read, encode, f"{kept}, ids binary")
 
 
 def decode_ids(
@@ -203,6 +205,6 @@ def decode_ids(
 
     read = encoded.select(*keep, "ids")
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in read.schema)
-    return read.mapInArrow(decode, f"{kept}, decoded binary").select(
+    return map_batches(read, decode, f"{kept}, decoded binary").select(
         *keep, "ids", F.col("decoded")
     )

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattledger.llm.stored import stored
+from wattledger.llm.workers import map_batches
 
 #: Shares into which the pieces of one length are dealt.
 SHARES = 64
@@ -108,7 +109,7 @@ def cut_documents(
 
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
-    return read.mapInArrow(cut, schema + ", ids binary" * with_ids)
+    return map_batches(read, cut, schema + ", ids binary" * with_ids)
 
 
 def two_fit_plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, tuple[int, ...]]]:

@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wattledger.llm.workers import map_batches
+
 GRAMS = (4, 5, 6)
 BUCKET_BITS = 18
 BUCKETS = 1 << BUCKET_BITS
@@ -147,7 +149,7 @@ def _bucket_counts(sample: DataFrame) -> tuple[np.ndarray, np.ndarray, int, int]
             {"bucket": there, "other": counts[0, there], "toxic": counts[1, there]}
         )
 
-    parts = sample.mapInArrow(counted, "bucket long, other long, toxic long")
+    parts = map_batches(sample, counted, "bucket long, other long, toxic long")
     # At most one row per bucket.
     rows = parts.groupBy("bucket").agg(F.sum("other").alias("other"), F.sum("toxic").alias("toxic"))
     counts = np.zeros((2, BUCKETS + 1), dtype=np.int64)
@@ -191,7 +193,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
             )
 
     # Bounded by sample_rows and KEPT_BUCKETS.
-    rows = sample.mapInArrow(features, "places binary, toxic int").toArrow()
+    rows = map_batches(sample, features, "places binary, toxic int").toArrow()
     target = rows.column("toxic").to_numpy().astype(np.float64)
     places = [np.frombuffer(p, dtype=np.int32) for p in rows.column("places").to_pylist()]
     columns = np.concatenate(places)
@@ -246,7 +248,7 @@ def score_texts(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id"
 
     read = docs.select(*keep, "text")
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in read.schema.fields[:-1])
-    return read.mapInArrow(scored, f"{kept}, score double")
+    return map_batches(read, scored, f"{kept}, score double")
 
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
@@ -257,4 +259,4 @@ def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFra
             scores = model.scores(batch.column("text").to_pylist())
             yield batch.filter(pa.array(scores < threshold))
 
-    return docs.mapInArrow(clean, docs.schema)
+    return map_batches(docs, clean, docs.schema)
