@@ -17,6 +17,7 @@ from wattledger.operators import bills as B
 from wattledger.operators import reports as R
 from wattledger.plans import inputs as I
 from wattledger.schemas import CLEAN_BILL
+from wattledger.streaming.jobs import write_judged
 
 BILL = (
     "bill_id string, store_id string, building_id string, commodity string, vendor_id string, "
@@ -66,7 +67,13 @@ def bills(spark, *rows):
         ("", None),
         ("NaN", None),
         ("Infinity", None),
-        ("1e13", None),
+        ("1e13", 1e13),
+        ("1000000000000", 1e12),
+        ("1.234,56", None),
+        ("12d", None),
+        ("1,23", None),
+        ("-$5.00", -5.0),
+        ("$-5", -5.0),
         (None, None),
     ],
 )
@@ -226,10 +233,13 @@ def test_usage_trend_brute_force(spark):
             months[r["bill_start_date"]] = (value or 0) + r["consumption"]
     expected = {}
     for key, months in monthly.items():
-        values = [months[m] for m in sorted(months)]
-        for i, month in enumerate(sorted(months)):
-            window = [v for v in values[max(0, i - 2) : i + 1] if v is not None]
-            expected[(*key, month)] = (values[i], values[i - 1] if i else None, sum(window) if window else None)
+        number = {m.year * 12 + m.month: v for m, v in months.items() if m}
+        for month, value in months.items():
+            at = month and month.year * 12 + month.month
+            window = [number.get(at - k) for k in range(3)] if month else []
+            window = [v for v in window if v is not None]
+            before = number.get(at - 1) if month else None
+            expected[(*key, month)] = (value, before, sum(window) if window else None)
     found = {
         (r.store_id, r.commodity, r.bill_month): tuple(
             None if v is None else float(v) for v in (r.consumption, r.previous, r.last_three)
@@ -292,3 +302,53 @@ def test_typing_never_fails(spark, texts):
 def test_vendor_ids_do_not_collide(spark):
     ids = spark.range(0, 20_000).select(I._vendor_id("id").alias("v"))
     assert ids.distinct().count() == 20_000
+
+
+def test_to_date_needs_a_day(spark):
+    rows = [("2025-01-31",), (" 2025-01-31 ",), ("2025",), ("2025-01",), ("2025-02-30",), ("x",), (None,)]
+    got = spark.createDataFrame(rows, "t string").select(to_date(F.col("t")).cast("string")).collect()
+    assert [r[0] for r in got] == ["2025-01-31", "2025-01-31", None, None, None, None, None]
+
+
+def test_sums_of_large_amounts_do_not_overflow(spark):
+    rows = [("s", "gas", "2025-01-05", 1e15, 2e15)] * 40
+    frame = spark.createDataFrame(
+        rows, "store_id string, commodity string, d string, consumption double, cost_usd double"
+    )
+    total = R.totals_by_store(frame).first()
+    assert (float(total.consumption), float(total.cost_usd)) == (4e16, 8e16)
+
+
+def test_outlier_beside_a_large_mean(spark):
+    rows = [("v", "gas", f"f{k}", f"b{k}", 9e8 + (k % 3) * 0.1) for k in range(40)]
+    rows.append(("v", "gas", "out", "out", 9e8 + 1.0))
+    frame = spark.createDataFrame(
+        rows, "vendor_id string, commodity string, source_file string, bill_id string, consumption double"
+    )
+    assert [r.bill_id for r in R.unusual_consumption(frame).collect()] == ["out"]
+
+
+def test_trend_by_calendar_month(spark):
+    rows = [("2025-01-05", 1.0), ("2025-02-01", 2.0), ("2025-04-09", 4.0), ("2025-05-01", 8.0), (None, 16.0)]
+    frame = spark.createDataFrame([("s", "gas", d, c) for d, c in rows],
+                                  "store_id string, commodity string, d string, consumption double")
+    trend = R.usage_trend(frame.withColumn("bill_start_date", F.to_date("d"))).collect()
+    got = {str(r.bill_month): (r.previous, r.last_three) for r in trend}
+    assert {k: tuple(None if x is None else float(x) for x in v) for k, v in got.items()} == {
+        "2025-01-01": (None, 1.0), "2025-02-01": (1.0, 3.0), "2025-04-01": (None, 6.0),
+        "2025-05-01": (4.0, 12.0), "None": (None, None),
+    }
+
+
+def test_replayed_batch_after_reference_data_changed(spark, tmp_path):
+    """Bills that change sides are on the new side only."""
+    bills = I.bills(spark, "/root/testdata/sf0.001")
+    mapped = B.add_buildings(bills, I.buildings(spark, "/root/testdata/sf0.001"))
+    few = I.vendors(spark, "/root/testdata/sf0.001").limit(3)
+    sides = []
+    for vendors in (few, I.vendors(spark, "/root/testdata/sf0.001"), few.limit(0)):
+        written = write_judged(B.add_vendors(mapped, vendors), 0, f"{tmp_path}/judged")
+        stored = spark.read.parquet(f"{tmp_path}/judged")
+        assert stored.count() == written == bills.count()
+        sides.append(stored.where("destination = 'valid'").count())
+    assert sides[2] == 0 < sides[0] < sides[1]

@@ -3,7 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from wattledger.functions.values import expected_unit, flag, money
+from wattledger.functions.values import UNLIKELY_AMOUNT, expected_unit, flag, money
 from wattledger.schemas import EXPECTED_UNIT, REQUIRED_FIELDS
 
 
@@ -53,6 +53,11 @@ def wrong_total() -> Column:
     return money(F.col("cost_usd")) != money(F.col("subtotal")) + money(F.col("tax"))
 
 
+def unlikely_amount() -> Column:
+    """An amount so large that it is probably misread."""
+    return F.greatest(F.abs("consumption"), F.abs("cost_usd")) >= UNLIKELY_AMOUNT
+
+
 def known_utility_type(name: str = "bill_type_partition") -> Column:
     return F.col(name).isin(*EXPECTED_UNIT)
 
@@ -72,6 +77,7 @@ def quarantine_rules() -> dict[str, Column]:
         "invalid_period": ~valid_period(),
         "consumption_not_numeric": unparsed("consumption_raw", "consumption"),
         "charge_not_numeric": unparsed("cost_raw", "cost_usd"),
+        "unlikely_amount": unlikely_amount(),
         "wrong_unit": wrong_unit(),
         "wrong_total": wrong_total(),
         "unmapped_building": F.col("building_id").isNull(),

@@ -5,8 +5,15 @@ from pyspark.sql import functions as F
 
 from wattledger.schemas import EXPECTED_UNIT
 
-# A larger amount on a bill is a misread, and would overflow the exact sums.
-AMOUNT_LIMIT = 1e12
+# An amount in full: a sign and a currency sign in either order, digits in groups of three or
+# in a row, a decimal point, an exponent. Anything else (`1.234,56`, `12d`) is not read as one.
+AMOUNT = (
+    r"^\s*(?:[-+]?\$?|\$[-+])\s*(?:[0-9]{1,3}(?:,[0-9]{3})+|[0-9]+)"
+    r"(?:\.[0-9]*)?(?:[eE][-+]?[0-9]+)?\s*$"
+)
+DAY = r"^\s*[0-9]{4}-[0-9]{2}-[0-9]{2}\s*$"
+# From here on an amount is flagged as unlikely; it is kept all the same.
+UNLIKELY_AMOUNT = 1e12
 
 
 def literal_map(pairs: dict[str, str]) -> Column:
@@ -14,15 +21,13 @@ def literal_map(pairs: dict[str, str]) -> Column:
 
 
 def to_number(text: Column) -> Column:
-    """A double below AMOUNT_LIMIT, or null; never an error. Currency signs and separators
-    are dropped; NaN and infinities are no amounts."""
-    # Most text needs no cleaning; the second branch is not computed for it.
-    number = F.coalesce(text.try_cast("double"), F.translate(text, "$,", "").try_cast("double"))
-    return F.when(F.abs(number) < AMOUNT_LIMIT, number)
+    """A double, or null for text that is not an amount as a whole; never an error."""
+    return F.when(text.rlike(AMOUNT), F.translate(text, "$, ", "").try_cast("double"))
 
 
 def to_date(text: Column) -> Column:
-    return text.try_cast("date")
+    """A day written in full, or null; a year or a month alone is no day."""
+    return F.when(text.rlike(DAY), F.trim(text).try_cast("date"))
 
 
 def standard_commodity(text: Column) -> Column:
@@ -41,8 +46,9 @@ def expected_unit(commodity: Column) -> Column:
 
 
 def money(amount: Column) -> Column:
-    """Exact decimal form of an amount, so that sums do not depend on row order."""
-    return amount.cast("decimal(18,4)")
+    """Exact decimal form of an amount, so that sums do not depend on row order. Sums have
+    ten digits more and don't overflow."""
+    return amount.try_cast("decimal(28,4)")
 
 
 def flag(condition: Column) -> Column:

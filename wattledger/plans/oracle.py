@@ -123,6 +123,7 @@ _BROKEN = {
     "invalid_period": "NOT coalesce(bill_end_date >= bill_start_date, false)",
     "consumption_not_numeric": "consumption_raw IS NOT NULL AND consumption IS NULL",
     "charge_not_numeric": "cost_raw IS NOT NULL AND cost_usd IS NULL",
+    "unlikely_amount": "greatest(abs(consumption), abs(cost_usd)) >= 1000000000000",
     "wrong_unit": f"unit <> {_EXPECTED}",
     "wrong_total": _WRONG_TOTAL,
     "unmapped_building": "building_id IS NULL",
@@ -420,26 +421,27 @@ ORACLE_SQL: dict[str, str] = {
     "usage_trend": _on_bills(f"""
         , monthly AS (
           SELECT store_id, commodity, {_MONTH} AS bill_month, sum({_money('consumption')}) AS used
-          FROM bills WHERE bill_start_date IS NOT NULL GROUP BY ALL)
-        SELECT store_id, commodity, CAST(bill_month AS VARCHAR) AS bill_month,
-          CAST(used AS DOUBLE) AS consumption, CAST(lag(used) OVER w AS DOUBLE) AS previous,
-          CAST(used - lag(used) OVER w AS DOUBLE) AS change,
-          CAST(sum(used) OVER (PARTITION BY store_id, commodity ORDER BY bill_month
-               ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS DOUBLE) AS last_three
-        FROM monthly WINDOW w AS (PARTITION BY store_id, commodity ORDER BY bill_month)"""),
-    "consumption_anomaly": _on_bills(f"""
-        , sums AS (
-          SELECT vendor_id, commodity, CAST(count(*) AS DOUBLE) AS n,
-            CAST(sum({_money('consumption')}) AS DOUBLE) AS sx,
-            CAST(sum({_money('consumption')} * {_money('consumption')}) AS DOUBLE) AS sxx
-          FROM bills WHERE consumption IS NOT NULL GROUP BY ALL),
-        scored AS (
-          SELECT vendor_id, commodity, source_file, bill_id, consumption,
-            (consumption - sx / n) / sqrt((sxx - sx * sx / n) / (n - 1)) AS z
-          FROM bills JOIN sums USING (vendor_id, commodity)
-          WHERE consumption IS NOT NULL AND n > 1 AND (sxx - sx * sx / n) / (n - 1) > 0)
-        SELECT vendor_id, commodity, source_file, bill_id, consumption, round(z, 4) AS z_score
-        FROM scored WHERE abs(z) > 2"""),
+          FROM bills GROUP BY ALL)
+        SELECT m.store_id, m.commodity, CAST(m.bill_month AS VARCHAR) AS bill_month,
+          CAST(m.used AS DOUBLE) AS consumption,
+          CAST(any_value(p.used) FILTER (WHERE p.bill_month = m.bill_month - INTERVAL 1 MONTH)
+               AS DOUBLE) AS previous,
+          CAST(m.used - any_value(p.used) FILTER (
+               WHERE p.bill_month = m.bill_month - INTERVAL 1 MONTH) AS DOUBLE) AS change,
+          CAST(sum(p.used) AS DOUBLE) AS last_three
+        FROM monthly m LEFT JOIN monthly p ON m.store_id = p.store_id
+          AND m.commodity = p.commodity AND p.bill_month <= m.bill_month
+          AND p.bill_month >= m.bill_month - INTERVAL 2 MONTH
+        GROUP BY m.store_id, m.commodity, m.bill_month, m.used"""),
+    "consumption_anomaly": _on_bills("""
+        , figures AS (
+          SELECT vendor_id, commodity, avg(consumption) AS mean,
+            stddev_samp(consumption) AS deviation
+          FROM bills WHERE consumption IS NOT NULL GROUP BY ALL)
+        SELECT vendor_id, commodity, source_file, bill_id, consumption,
+          round((consumption - mean) / deviation, 4) AS z_score
+        FROM bills JOIN figures USING (vendor_id, commodity)
+        WHERE deviation > 0 AND abs((consumption - mean) / deviation) > 2"""),
     "gold_bills": _on_enriched("""
         SELECT building_id, coalesce(vendor, vendor_id) AS vendor, commodity AS utility_type,
           strftime(bill_start_date, '%Y-%m') AS billing_period,

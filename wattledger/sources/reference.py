@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from wattledger.schemas import BUILDINGS, METER_FEED
+from wattledger.sources.landing import ANY_AGE
 
 
 def read_buildings(
@@ -31,5 +32,6 @@ def meter_feed_stream(
         spark.readStream.format(file_format)
         .schema(METER_FEED)
         .option("maxFilesPerTrigger", max_files)
+        .option("maxFileAge", ANY_AGE)
         .load(path)
     )

@@ -1,6 +1,6 @@
 """Sinks that may be replayed, and the numbers they report."""
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -40,11 +40,9 @@ def _is_path(target: str) -> bool:
     return "/" in target
 
 
-def _overwrite_batches(
-    rows: DataFrame, target: str, file_format: str, partitions: Sequence[str] = ()
-) -> None:
-    """Replaces the partitions that `rows` holds, in a folder or a named table."""
-    folders = [*partitions, "batch_id"]
+def _overwrite_batches(rows: DataFrame, target: str, file_format: str) -> None:
+    """Replaces the batches that `rows` holds, in a folder or a named table."""
+    folders = ["batch_id"]
     if _is_path(target):
         writer = rows.write.format(file_format).mode("overwrite").partitionBy(*folders)
         writer.option("partitionOverwriteMode", "dynamic").save(target)
@@ -69,7 +67,6 @@ def write_batch(
     batch_id: int,
     target: str,
     file_format: str = "parquet",
-    partitions: Sequence[str] = (),
 ) -> int:
     """Writes one batch as its own partition of a folder (a target with a slash) or a named
     table, and returns its row count.
@@ -82,7 +79,7 @@ def write_batch(
     counted = Observation()
     stamped = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     stamped = stamped.observe(counted, F.count(F.lit(1)).alias("rows"))
-    _overwrite_batches(stamped, target, file_format, partitions)
+    _overwrite_batches(stamped, target, file_format)
     return counted.get.get("rows", 0)
 
 
