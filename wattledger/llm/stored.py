@@ -24,4 +24,14 @@ def stored(rows: DataFrame, label: str) -> DataFrame:
     del rows
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(schema).parquet(folder)
+    table = spark.read.schema(schema).parquet(folder)
+    table.stored_in = folder
+    return table
+
+
+def drop(*tables: DataFrame) -> None:
+    """Deletes tables made by stored() that nothing will read again."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_in)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

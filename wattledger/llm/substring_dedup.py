@@ -32,9 +32,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattledger.llm.stored import stored
+from wattledger.llm.stored import drop, stored
 from wattledger.llm.texts import with_texts
 from wattledger.llm.words import Words, chunks, mix, sliding_minimum, windows
+from wattledger.llm.workers import map_batches
 
 WINDOW = 13
 ANCHOR_WORDS = 5
@@ -94,7 +95,9 @@ def anchors(docs: DataFrame) -> DataFrame:
                     names=["anchor", "doc_id"],
                 )
 
-    return docs.where(F.col("doc_id").isNotNull()).mapInArrow(found, "anchor long, doc_id long")
+    return map_batches(
+        docs.where(F.col("doc_id").isNotNull()), found, "anchor long, doc_id long"
+    )
 
 
 def paths_at(docs: DataFrame, met: DataFrame) -> DataFrame:
@@ -142,13 +145,18 @@ def paths_at(docs: DataFrame, met: DataFrame) -> DataFrame:
                 )
 
     schema = "anchor long, doc_id long, start int, edges array<long>, check long"
-    return docs.join(met, "doc_id").select("doc_id", "text", "anchors").mapInArrow(cut, schema)
+    return map_batches(docs.join(met, "doc_id").select("doc_id", "text", "anchors"), cut, schema)
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """doc_id, start, edges, source_id, source_start: runs of windows (`edges` many, the first
     at word `start`) that also stand in a document with a smaller doc_id, at its word
     source_start. docs: doc_id, text."""
+    return _spans_and_tables(docs)[0]
+
+
+def _spans_and_tables(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """The repeated spans, and the stored tables that they are made from."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     shared = stored(
         anchors(docs).groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"),
@@ -161,6 +169,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         .agg(F.collect_set("anchor").alias("anchors")),
         "met",
     )
+    drop(shared)
     paths = stored(
         paths_at(docs, met).select(
             "anchor",
@@ -173,6 +182,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         ),
         "paths",
     )
+    drop(met)
     same_path = ["anchor", "path", "check", "n"]
     compacted = stored(
         paths.groupBy(*same_path).agg(
@@ -210,17 +220,18 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         .where(F.col("doc_id") > F.col("source_id"))
         .select("doc_id", "start", F.lit(1).alias("edges"), "source_id", "source_start")
     )
-    return whole.unionAll(single)
+    return whole.unionAll(single), [paths, compacted, branching, edges, first]
 
 
 def _with_spans(docs: DataFrame) -> DataFrame:
     """docs and SPANS: each document's repeated spans (null if there are none)."""
+    found, tables = _spans_and_tables(docs)
     spans = stored(
-        repeated_spans(docs)
-        .groupBy("doc_id")
+        found.groupBy("doc_id")
         .agg(F.collect_list(F.struct("start", "edges")).alias(SPANS)),
         "spans",
     )
+    drop(*tables)
     return docs.join(spans, docs["doc_id"] == spans["doc_id"], "left").select(
         *[docs[name] for name in docs.columns], spans[SPANS]
     )
@@ -261,8 +272,8 @@ def keep_first(docs: DataFrame) -> DataFrame:
             )
 
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return _with_spans(read).mapInArrow(
-        kept, "doc_id long, n_words long, n_removed long, kept string"
+    return map_batches(
+        _with_spans(read), kept, "doc_id long, n_words long, n_removed long, kept string"
     )
 
 
@@ -281,7 +292,7 @@ def drop_repeats(docs: DataFrame, length: str | None = None) -> DataFrame:
             names = [name for name in batch.schema.names if name != SPANS]
             yield with_texts(batch.select(names), changed, length)
 
-    return _with_spans(docs).mapInArrow(cut, docs.schema)
+    return map_batches(_with_spans(docs), cut, docs.schema)
 
 
 def cut_words(text: str, spans: list[dict]) -> str:
