@@ -1,12 +1,5 @@
 """The SQL each query must agree with, over the same tables read by another engine."""
 
-from wattledger.operators.elements import (
-    HTML_BLOCK,
-    HTML_BLOCKS,
-    HTML_BREAK,
-    HTML_INLINE,
-    HTML_INVISIBLE,
-)
 from wattledger.schemas import VENDOR_PARSER
 
 
@@ -190,23 +183,42 @@ SELECT 'doc/' || doc_id, {_utility('doc_id')}, {_vendor('doc_id')}, NULL, NULL,
   CASE WHEN doc_id % 50 = 3 THEN 'document is not valid JSON' ELSE 'document has no elements' END
 FROM documents WHERE doc_id % 50 <= 3"""
 
-_TAG_TYPES = " ".join(f"WHEN '{tag}' THEN '{kind}'" for tag, kind in HTML_BLOCKS.items())
+_LINE_TAGS = (
+    "title|h1|h2|h3|h4|h5|h6|p|div|pre|blockquote|li|th|td|caption|figcaption|html|head|body|header"
+    "|footer|main|section|article|aside|nav|address|form|fieldset|legend|figure|details|summary"
+    "|table|thead|tbody|tfoot|tr|ul|ol|menu|dl|dt|dd|option|noscript"
+)
+
+
+def _characters(text: str) -> str:
+    """Named characters of the test pages."""
+    for name, character in (
+        ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&copy;", "©"),
+        ("&middot;", "·"), ("&amp;", "&"),
+    ):
+        text = f"replace({text}, '{name}', '{character}')"
+    return text
 
-_HTML = f"""
+
+# Tags that begin or end a block become a mark of two control characters around their name,
+# all others go; the page is then cut at the marks.
+_HTML = rf"""
 WITH visible AS (
-  SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html, '{HTML_INVISIBLE}', '', 'g'),
-    '{HTML_BREAK}', ' ', 'g'), '{HTML_INLINE}', '', 'g') AS page FROM pages
+  SELECT page_id, regexp_replace(regexp_replace(html,
+    '(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->', '', 'g'),
+    '(?i)</?(br|hr|img|input|wbr)([\s/][^>]*)?>', ' ', 'g') AS page FROM pages
+),
+marked AS (
+  SELECT page_id, regexp_replace(regexp_replace(page, '(?i)<(/?)({_LINE_TAGS})([\s/][^>]*)?>',
+    chr(1) || '\1\2' || chr(2), 'g'), '<[^>]*>', '', 'g') AS page FROM visible
 ),
 blocks AS (
   SELECT page_id, unnest(m) AS block, generate_subscripts(m, 1) AS place
-  FROM (SELECT page_id, regexp_extract_all(page, '{HTML_BLOCK}', 0) AS m FROM visible)
+  FROM (SELECT page_id, string_split('body' || chr(2) || page, chr(1)) AS m FROM marked)
 ),
 read AS (
-  SELECT page_id, place, lower(regexp_extract(block, '^<([a-zA-Z0-9]+)', 1)) AS tag,
-    trim(regexp_replace(replace(replace(replace(replace(replace(replace(
-      regexp_replace(block, '^<[^>]*>', ''),
-      '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'),
-      '\\s+', ' ', 'g')) AS content
+  SELECT page_id, place, lower(string_split(block, chr(2))[1]) AS tag,
+    trim(regexp_replace({_characters("string_split(block, chr(2))[2]")}, '\s+', ' ', 'g')) AS content
   FROM blocks
 ),
 found AS (
@@ -218,11 +230,21 @@ found AS (
 elements AS (
   SELECT page_id, 'page/' || page_id AS file_path, {_utility('page_id')} AS utility_type,
     {_vendor('page_id')} AS vendor_id, CAST(place AS INTEGER) AS element_index,
-    CASE tag {_TAG_TYPES} END AS element_type, content,
+    CASE WHEN place IS NULL THEN NULL WHEN tag = 'title' THEN 'title'
+      WHEN tag IN ('h1', 'h2', 'h3', 'h4', 'h5', 'h6') THEN 'section_header'
+      WHEN tag = 'li' THEN 'list_item' WHEN tag IN ('th', 'td') THEN 'table_cell'
+      WHEN tag IN ('caption', 'figcaption') THEN 'caption' ELSE 'text' END AS element_type, content,
     CASE WHEN place IS NULL THEN 'FAILED' ELSE 'SUCCESS' END AS parse_status
   FROM found
 )"""
 
+_VISIBLE_TEXT = rf"""
+SELECT 'page/' || page_id AS file_path, regexp_replace({_characters(r"""
+  regexp_replace(regexp_replace(html,
+    '(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->', '', 'g'), '<[^>]*>', '', 'g')""")},
+  '\s+', '', 'g') AS visible
+FROM pages"""
+
 _LANDED_ELEMENTS = (
     f"{_HTML} SELECT utility_type, vendor_id, element_index, element_type, content FROM elements"
 )
@@ -286,6 +308,7 @@ ORACLE_SQL: dict[str, str] = {
           'SUCCESS' AS parse_status FROM ({_LINES})""",
     "html_elements": f"""{_HTML}
         SELECT file_path, element_index, element_type, content, parse_status FROM elements""",
+    "html_text_kept": _VISIBLE_TEXT,
     "landing_projection": f"""
         SELECT url AS file_path, string_split(url, '/')[-1] AS file_name,
           {_utility('page_id')} AS utility_type, {_vendor('page_id')} AS vendor_id,

@@ -94,6 +94,19 @@ def html_elements(spark, sf_dir):
     return rows.select("file_path", "element_index", "element_type", "content", "parse_status")
 
 
+@query
+def html_text_kept(spark, sf_dir):
+    """The text of a page's elements, put together again without white space."""
+    rows = E.parse_html(I.html_files(spark, sf_dir))
+    pages = rows.groupBy("file_path").agg(
+        F.array_sort(F.collect_list(F.struct("element_index", "content"))).alias("elements")
+    )
+    return pages.select(
+        "file_path",
+        F.regexp_replace(F.array_join("elements.content", ""), r"\s+", "").alias("visible"),
+    )
+
+
 # --- landing
 
 
