@@ -178,13 +178,21 @@ def duplicate_bills(bills: DataFrame, spread_by: Sequence[str] = ("bill_id",)) -
     stored table.
     """
     known = bills.dropna(subset=[*PERIOD_KEYS, "bill_id"])
+    # Numbers stand for the IDs, so that groups are kept in a hash table while they are counted;
+    # the IDs themselves are compared among the few bills of the groups found.
+    number = F.xxhash64("bill_id")
     groups = (
         known.groupBy(*PERIOD_KEYS)
         .agg(
-            F.min("bill_id").alias("first_bill_id"),
-            F.max("bill_id").alias("last_bill_id"),
+            F.min(number).alias("low"),
+            F.max(number).alias("high"),
             F.count(F.lit(1)).alias("bills_in_period"),
         )
-        .where(F.col("first_bill_id") != F.col("last_bill_id"))
+        .where(F.col("low") != F.col("high"))
+        .drop("low", "high")
     )
-    return join_groups(known, groups, PERIOD_KEYS, spread_by)
+    found = join_groups(known, groups, PERIOD_KEYS, spread_by)
+    ends = found.groupBy(*PERIOD_KEYS).agg(
+        F.min("bill_id").alias("first_bill_id"), F.max("bill_id").alias("last_bill_id")
+    )
+    return join_groups(found, ends, PERIOD_KEYS, spread_by)

@@ -23,6 +23,12 @@ def dedup_intervals(reads: DataFrame) -> DataFrame:
     return flag_intervals(best.select(*METER_KEY, "best.building_id", "best.kwh", "best.source_file"))
 
 
+def late_readings(reads: DataFrame, kept: DataFrame) -> DataFrame:
+    """Readings whose meter and instant a stream's table doesn't hold, one per key: what came
+    after the stream's watermark had passed. Appending them completes the table."""
+    return dedup_intervals(reads).join(kept.select(*METER_KEY), list(METER_KEY), "left_anti")
+
+
 def flag_intervals(reads: DataFrame) -> DataFrame:
     """METER_INTERVAL rows."""
     return reads.select(

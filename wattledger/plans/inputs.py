@@ -238,7 +238,8 @@ def json_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bill_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every bill line item printed in the wording of its vendor, as a text file. One in 97
-    has no number, one in 83 no period, one in 211 is an empty form."""
+    has no number, one in 83 no period, one in 211 is an empty form, one in 71 names a second
+    total."""
     lines = _with_orders(spark, sf_dir, table(spark, sf_dir, "lineitem"))
     number = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     wording = [
@@ -279,6 +280,8 @@ def bill_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Subtotal: $"), subtotal.cast("string")),
         F.concat(F.lit("Tax: $"), tax.cast("string")),
         F.concat(F.lit("Total due: $"), (subtotal + tax).cast("string")),
+        F.when(_every("l_orderkey", 71), F.lit("Total due: $1.00")),
+        F.concat(F.lit("Account No: ACC-"), F.col("o_custkey").cast("string")),
         F.concat(F.lit("Customer: STR-"), F.col("o_custkey").cast("string")),
     )
     return lines.select(
@@ -294,6 +297,33 @@ def bill_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def conversation_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as the parser's JSON, one text file each: turns are the elements. One in
+    10 has none, one in 7 is broken."""
+    turn = F.struct(
+        "turn", F.to_json(F.struct(F.col("role").alias("type"), F.col("text").alias("content"))).alias("element")
+    )
+    good = F.concat(
+        F.lit('{"document":{"elements":['),
+        F.array_join(F.array_sort(F.collect_list(turn))["element"], ","),
+        F.lit("]}}"),
+    )
+    key = F.col("conv_id")
+    return (
+        table(spark, sf_dir, "conversations")
+        .groupBy("conv_id")
+        .agg(good.alias("good"))
+        .select(
+            F.when(key % 10 == 1, F.lit('{"document":{"elements":[]}}'))
+            .when(key % 7 == 3, F.concat(F.lit("{"), F.col("good")))
+            .otherwise(F.col("good"))
+            .alias("text"),
+            utility_of("conv_id").alias("bill_type"),
+            vendor_of("conv_id").alias("vendor_id"),
+        )
+    )
+
+
 def land(spark: SparkSession, rows: DataFrame, folder: str) -> None:
     """Adds `text, bill_type, vendor_id` rows as one text file each (with a line end after
     it) below bill_type=/vendor_id= folders. Opening files is the cost, so the rows are

@@ -262,13 +262,15 @@ WITH printed AS (
     CASE l_partkey % 3 WHEN 0 THEN 'kWh' WHEN 1 THEN 'therms' ELSE 'gallons' END AS unit_name,
     CAST(l_extendedprice AS DECIMAL(18,2)) AS sub,
     CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(18,2)) AS tax2,
-    'STR-' || o_custkey AS store
+    'STR-' || o_custkey AS store, 'ACC-' || o_custkey AS account, l_orderkey % 71 = 0 AS doubled
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 ),
 merged AS (
   SELECT num || '.pdf' AS source_file, commodity, vendor_id,
     max(CASE WHEN NOT blank AND NOT unnumbered THEN num END) AS bill_id,
     max(CASE WHEN NOT blank THEN store END) AS store_id,
+    max(CASE WHEN NOT blank THEN account END) AS account_number,
+    max(CASE WHEN NOT blank AND doubled AND sub + tax2 <> 1 THEN 'conflicting: cost_usd' END) AS conflict,
     max(CASE WHEN NOT blank AND NOT undated THEN shipped - 30 END) AS bill_start_date,
     max(CASE WHEN NOT blank AND NOT undated THEN shipped END) AS bill_end_date,
     CAST(max(CASE WHEN NOT blank THEN qty END) AS DOUBLE) AS consumption,
@@ -278,10 +280,11 @@ merged AS (
     CAST(max(CASE WHEN NOT blank THEN CAST(sub + tax2 AS VARCHAR) END) AS DOUBLE) AS cost_usd
   FROM printed GROUP BY num, commodity, vendor_id
 )
-SELECT * REPLACE (strftime(bill_start_date, '%Y-%m-%d') AS bill_start_date,
+SELECT * EXCLUDE (conflict) REPLACE (strftime(bill_start_date, '%Y-%m-%d') AS bill_start_date,
                   strftime(bill_end_date, '%Y-%m-%d') AS bill_end_date),
   CASE vendor_id {_EXTRACTORS} END AS parser_version,
-  {_STATUS} AS parse_status, 'missing: ' || {_MISSING} AS parse_error
+  {_STATUS} AS parse_status,
+  nullif(concat_ws('; ', 'missing: ' || {_MISSING}, conflict), '') AS parse_error
 FROM merged"""
 
 _METER = """
@@ -350,10 +353,39 @@ ORACLE_SQL: dict[str, str] = {
         )
         SELECT * FROM found WHERE value <> ''""",
     "gold_pivot": """
-        SELECT conv_id, max(CASE WHEN role = 'system' THEN text END) AS system,
-          max(CASE WHEN role = 'user' THEN text END) AS "user",
-          max(CASE WHEN role = 'assistant' THEN text END) AS assistant
+        SELECT conv_id,
+          coalesce(string_agg(text, ',' ORDER BY turn) FILTER (WHERE role = 'system'), '') AS system,
+          coalesce(string_agg(text, ',' ORDER BY turn) FILTER (WHERE role = 'user'), '') AS "user",
+          coalesce(string_agg(text, ',' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')
+            AS assistant
         FROM conversations GROUP BY conv_id""",
+    "bill_extract_elements": _PRINTED,
+    "extracted_layout": f"""
+        SELECT bill_id, building_id, commodity, lower(vendor_id) AS vendor, vendor_id,
+          bill_start_date, bill_end_date, consumption, unit, cost_usd, source_file,
+          commodity AS bill_type_partition, parser_version, parse_status, parse_error
+        FROM ({_PRINTED}) LEFT JOIN (
+          SELECT 'STR-' || c_custkey AS store_id, 'BLD-' || c_custkey AS building_id
+          FROM customer WHERE c_custkey % 10 <> 9) USING (store_id)""",
+    "buildings_csv": """
+        SELECT 'STR-' || c_custkey AS store_id, 'BLD-' || c_custkey AS building_id
+        FROM customer WHERE c_custkey % 10 <> 9""",
+    "dotted_table": _EVENTS,
+    "empty_batch": """
+        SELECT count(*) AS stored, 1 AS batches, count(*) AS "full", 0 AS empty FROM events""",
+    "quarantine_replay": _on_enriched(_BILLS_BY_DESTINATION),
+    "element_stream_json": f"""
+        WITH turns AS (
+          SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS place, role, text
+          FROM conversations WHERE conv_id % 10 <> 1 AND conv_id % 7 <> 3)
+        SELECT {_utility('conv_id')} AS utility_type, {_vendor('conv_id')} AS vendor_id,
+          CAST(place AS INTEGER) AS element_index, role AS element_type, text AS content,
+          'SUCCESS' AS parse_status, CAST(NULL AS VARCHAR) AS parse_error FROM turns
+        UNION ALL
+        SELECT {_utility('conv_id')}, {_vendor('conv_id')}, NULL, NULL, NULL, 'FAILED',
+          CASE WHEN conv_id % 10 = 1 THEN 'document has no elements'
+               ELSE 'document is not valid JSON' END
+        FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id % 10 = 1 OR conv_id % 7 = 3)""",
     "bill_extract": _PRINTED,
     "bill_typed": _on_typed(f"SELECT {_BILL_COLUMNS} FROM typed"),
     "bill_exact_dedup": _on_bills(
@@ -426,6 +458,17 @@ ORACLE_SQL: dict[str, str] = {
         FROM (SELECT *, row_number() OVER (PARTITION BY ts, user_id
                 ORDER BY kwh IS NOT NULL DESC, source_file DESC, kwh DESC) AS place FROM reads)
         WHERE place = 1""",
+    "meter_feed": f"""{_METER}
+        SELECT epoch_us(ts) AS timestamp, CAST(user_id % 50 AS VARCHAR) AS building_id,
+          CAST(user_id AS VARCHAR) AS meter_id, kwh, source_file,
+          CASE WHEN kwh IS NULL THEN 'true' ELSE 'false' END AS is_missing_kwh
+        FROM (SELECT *, row_number() OVER (PARTITION BY ts, user_id
+                ORDER BY kwh IS NOT NULL DESC, source_file DESC, kwh DESC) AS place FROM reads)
+        WHERE place = 1""",
+    "late_readings": """
+        SELECT DISTINCT epoch_us(ts - INTERVAL 4000 DAY) AS timestamp,
+          CAST(user_id AS VARCHAR) AS meter_id
+        FROM events WHERE user_id % 2 = 1""",
     "meter_dedup_stream": """
         SELECT DISTINCT epoch_us(ts) AS timestamp, CAST(user_id AS VARCHAR) AS meter_id FROM events""",
     "totals_by_store": _on_bills(f"SELECT store_id, commodity, {_TOTALS} FROM bills GROUP BY ALL"),

@@ -14,6 +14,7 @@ from wattledger.operators import elements as E
 from wattledger.operators import extract as X
 from wattledger.operators import reports as R
 from wattledger.operators.meters import dedup_intervals
+from wattledger.operators.meters import late_readings as missed_readings
 from wattledger.plans import inputs as I
 from wattledger.session import new_folder
 from wattledger.sources.landing import (
@@ -22,6 +23,7 @@ from wattledger.sources.landing import (
     landed_files,
     unregistered_files,
 )
+from wattledger.sources.reference import meter_feed_stream, read_buildings, read_meter_feed
 from wattledger.streaming import jobs as J
 from wattledger.streaming import sinks as S
 from wattledger.streaming.meters import first_arrivals
@@ -206,6 +208,23 @@ def element_stream(spark, sf_dir):
     return _element_columns(spark.read.parquet(f"{work}/elements"))
 
 
+@query
+def element_stream_json(spark, sf_dir):
+    """Both jobs on parsed documents: files to registry, VARIANT elements, failures kept."""
+    work = new_folder(spark, "element_stream_json")
+    root, registry = f"{work}/files", f"registry_{uuid.uuid4().hex}"
+    I.land(spark, I.conversation_files(spark, sf_dir), root)
+    J.register_files(spark, root, registry, f"{work}/landing", "*.txt", path=f"{work}/registry")
+    elements = f"{work}/elements"
+    J.parse_registered(
+        spark, registry, root, elements, f"{work}/parsing", E.parse_document_json, "*.txt"
+    )
+    return spark.read.parquet(elements).select(
+        "utility_type", "vendor_id", "element_index", "element_type", "content", "parse_status",
+        "parse_error",
+    )
+
+
 @query
 def reprocess_equals_stream(spark, sf_dir):
     """The same, but with an unfit parser first; its batches are parsed again."""
@@ -278,6 +297,42 @@ def quarantine_sink(spark, sf_dir):
     return spark.read.parquet(folder).select("destination", "source_file", "bill_id", "reasons")
 
 
+@query
+def quarantine_replay(spark, sf_dir):
+    """The same batch written again after the vendors' table was mended: some bills change
+    sides, each is there once."""
+    folder = new_folder(spark, "quarantine_replay")
+    mapped = B.add_buildings(I.bills(spark, sf_dir), I.buildings(spark, sf_dir))
+    vendors = I.vendors(spark, sf_dir)
+    known = vendors.where(F.substring("vendor_id", -1, 1) != "1")
+    J.write_judged(B.add_vendors(mapped, known), 0, folder)
+    J.write_judged(B.add_vendors(mapped, vendors), 0, folder)
+    return spark.read.parquet(folder).select("destination", "source_file", "bill_id", "reasons")
+
+
+@query
+def dotted_table(spark, sf_dir):
+    """A stream into a table of a schema that isn't there yet."""
+    work = new_folder(spark, "dotted_table")
+    schema = f"layer_{uuid.uuid4().hex}"
+    S.ensure_schema(spark, f"{schema}.events")
+    S.run_to_table(_event_stream(spark, sf_dir), f"{schema}.events", f"{work}/progress", path=f"{work}/table")
+    return spark.table(f"{schema}.events")
+
+
+@query
+def empty_batch(spark, sf_dir):
+    """A batch without rows writes nothing and counts none; the one before it stays."""
+    folder = new_folder(spark, "empty_batch")
+    events = I.table(spark, sf_dir, "events")
+    full = S.write_batch(events, 0, folder)
+    empty = S.write_batch(events.where("false"), 1, folder)
+    stored = S.read_batches(spark, folder)
+    return stored.agg(
+        F.count(F.lit(1)).alias("stored"), F.count_distinct("batch_id").alias("batches")
+    ).withColumns({"full": F.lit(full).cast("long"), "empty": F.lit(empty).cast("long")})
+
+
 # --- extraction
 
 
@@ -301,20 +356,53 @@ def rule_extract(spark, sf_dir):
 @query
 def gold_pivot(spark, sf_dir):
     turns = I.table(spark, sf_dir, "conversations").select(
-        "conv_id", F.col("role").alias("field"), F.col("text").alias("value")
+        "conv_id", "turn", F.col("role").alias("field"), F.col("text").alias("value")
     )
-    return X.pivot_fields(turns, ["conv_id"], ["system", "user", "assistant"])
+    return X.pivot_fields(turns, ["conv_id"], ["system", "user", "assistant"], "turn")
 
 
 @query
 def bill_extract(spark, sf_dir):
     """Printed bills of five vendor layouts to one typed row each."""
+    return X.bills_of_files(I.bill_texts(spark, sf_dir)).drop(
+        "consumption_raw", "cost_raw", "ingestion_ts", "bill_type_partition"
+    )
+
+
+@query
+def bill_extract_elements(spark, sf_dir):
+    """The same from the bills' lines as elements."""
     elements = E.parse_lines(I.bill_texts(spark, sf_dir))
     return X.extracted_bills(elements).drop(
         "consumption_raw", "cost_raw", "ingestion_ts", "bill_type_partition"
     )
 
 
+@query
+def extracted_layout(spark, sf_dir):
+    """Extracted bills with their building and vendor, in the contract's layout."""
+    bills = X.bills_of_files(I.bill_texts(spark, sf_dir))
+    enriched = B.add_vendors(
+        B.add_buildings(bills, I.buildings(spark, sf_dir)),
+        spark.createDataFrame([(v, v.lower()) for v in I.VENDOR_CODES], "vendor_id string, vendor string"),
+    )
+    return B.extracted_layout(enriched).drop("ingestion_ts")
+
+
+# --- reference data
+
+
+@query
+def buildings_csv(spark, sf_dir):
+    """The building CSV, with a second building for some stores and rows without a store."""
+    folder = new_folder(spark, "buildings_csv")
+    rows = I.buildings(spark, sf_dir)
+    double = rows.where(F.col("store_id").endswith("7")).withColumn("building_id", F.lit("Z"))
+    nameless = rows.limit(1).withColumn("store_id", F.lit(None).cast("string"))
+    rows.unionAll(double).unionAll(nameless).write.option("header", True).csv(folder)
+    return read_buildings(spark, folder)
+
+
 # --- bills
 
 
@@ -465,21 +553,42 @@ def meter_dedup(spark, sf_dir):
     return dedup_intervals(I.meter_reads(spark, sf_dir)).drop("silver_ingestion_ts")
 
 
+@query
+def meter_feed(spark, sf_dir):
+    """The readings as a feed of files, read by its layout."""
+    folder = new_folder(spark, "meter_feed")
+    I.meter_reads(spark, sf_dir).write.parquet(folder)
+    return dedup_intervals(read_meter_feed(spark, folder)).drop("silver_ingestion_ts")
+
+
+@query
+def late_readings(spark, sf_dir):
+    """Half the meters report again about readings of years ago, after the newer ones: behind
+    the stream's watermark, so they are found beside its table."""
+    work = new_folder(spark, "late_readings")
+    reads = I.meter_reads(spark, sf_dir)
+    odd = F.col("meter_id").cast("long") % 2 == 1
+    older = reads.where(odd).withColumn("timestamp", F.expr("timestamp - interval 4000 days"))
+    for go in (reads.where(~odd), older):
+        go.write.mode("append").parquet(f"{work}/feed")
+        first = first_arrivals(meter_feed_stream(spark, f"{work}/feed"), "1 day")
+        S.write_each_batch(first, f"{work}/kept", f"{work}/progress")
+    feed = read_meter_feed(spark, f"{work}/feed")
+    late = missed_readings(feed, spark.read.parquet(f"{work}/kept"))
+    return late.select("timestamp", "meter_id")
+
+
 @query
 def meter_dedup_stream(spark, sf_dir):
-    """Readings of a feed of files, first arrival kept. The feed is in no time order, so
-    the watermark allows for its whole span."""
+    """Readings of a feed of files in several batches, first arrival kept for an hour; those
+    that came later than that are added from the feed."""
     work = new_folder(spark, "meter_dedup_stream")
-    reads = I.meter_reads(spark, sf_dir)
-    reads.write.parquet(f"{work}/feed")
-    feed = spark.read.parquet(f"{work}/feed")
-    span = feed.agg(
-        F.unix_seconds(F.max("timestamp")) - F.unix_seconds(F.min("timestamp"))
-    ).first()[0]
-    stream = spark.readStream.schema(feed.schema).parquet(f"{work}/feed")
-    first = first_arrivals(stream, f"{(span or 0) + 1} seconds")
-    S.write_each_batch(first, f"{work}/kept", f"{work}/progress")
-    return spark.read.parquet(f"{work}/kept").select("timestamp", "meter_id")
+    I.meter_reads(spark, sf_dir).repartition(4).write.parquet(f"{work}/feed")
+    stream = meter_feed_stream(spark, f"{work}/feed", max_files=1)
+    S.write_each_batch(first_arrivals(stream, "1 hour"), f"{work}/kept", f"{work}/progress")
+    kept = spark.read.parquet(f"{work}/kept").select("timestamp", "meter_id")
+    late = missed_readings(read_meter_feed(spark, f"{work}/feed"), kept)
+    return kept.unionByName(late.select("timestamp", "meter_id"))
 
 
 # --- reports
