@@ -1,10 +1,11 @@
-"""Table layouts, the names a value carries in each layer, and the fixed lookup values."""
+"""Table layouts and the fixed lookup values."""
 
 from pyspark.sql.types import ArrayType, DataType, IntegerType, StructType
 
 
 def _layout(**fields: str | DataType) -> StructType:
-    """Columns by name and type; a type ending in ! is not null."""
+    """Columns by name and type; a type ending in ! is not null. (Layouts as DDL text could only
+    be read once a session runs.)"""
     layout = StructType()
     for name, kind in fields.items():
         required = isinstance(kind, str) and kind.endswith("!")
@@ -110,14 +111,6 @@ METER_INTERVAL = _layout(
 
 BUILDINGS = _layout(store_id="string", building_id="string")
 
-# The same value is called differently in each layer: landed file -> registry -> bill.
-LAYER_NAMES = {
-    "bill_type": ("utility_type", "commodity"),
-    "path": ("file_path", "source_file"),
-    "length": ("file_size_bytes", None),
-    "modificationTime": ("modification_time", None),
-}
-
 # The unit each commodity is billed in.
 EXPECTED_UNIT = {
     "electricity": "kWh",

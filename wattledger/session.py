@@ -32,13 +32,16 @@ def build_session(name: str, master: str | None = None, **extra: str) -> SparkSe
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: spark.checkpoint.dir as the cluster names it.
 
-    Only a session without one (tests, a laptop) gets a temporary folder.
+    Only a local session without one (tests, a laptop) gets a temporary folder: on a cluster
+    that would be another folder on every machine.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="wattledger-"))
     return context.getCheckpointDir().rstrip("/")
 
