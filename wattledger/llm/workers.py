@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import io
 import os
-import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 import wattledger
+from wattledger.session import new_folder
 
 ARCHIVE = "wattledger-code.zip"
 
@@ -28,17 +29,21 @@ def map_batches(
 
 
 def share_package(spark: SparkSession) -> None:
-    """Sends the package's modules to the workers, once a context, unless their path has
-    them already."""
+    """Sends the package's modules to the workers by way of the shared folder, once a context,
+    unless their path has them already."""
     root = Path(wattledger.__file__).resolve().parent.parent
     context = spark.sparkContext
     if str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
         return
     if any(name.endswith(ARCHIVE) for name in context._python_includes):
         return
-    # The driver's own copy; Spark serves it to the workers.
-    archive = os.path.join(tempfile.mkdtemp(prefix="wattledger-"), ARCHIVE)
-    with zipfile.ZipFile(archive, "w") as out:
+    code = io.BytesIO()
+    with zipfile.ZipFile(code, "w") as archive:
         for path in sorted(root.glob("wattledger/**/*.py")):
-            out.write(path, path.relative_to(root))
-    context.addPyFile(archive)
+            archive.write(path, path.relative_to(root))
+    target = f"{new_folder(spark, 'code')}/{ARCHIVE}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    out.write(code.getvalue())
+    out.close()
+    context.addPyFile(target)
