@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from wattledger.llm.stored import stored
 
 
-def connected(links: DataFrame) -> DataFrame:
+def connected(links: DataFrame, rounds: int | None = None) -> DataFrame:
     """links: u, v (long). Returns node, component (the smallest node that it reaches) for
-    every node that has a link to another.
+    every node that has a link to another. With `rounds` it stops after so many: `component` is
+    then some node of the same component, equal for most of its nodes.
 
     A large star hangs a node's greater neighbours on its smallest neighbour, a small star its
     lesser ones; in a few rounds, about the logarithm of the longest path, every component is
@@ -23,15 +24,17 @@ def connected(links: DataFrame) -> DataFrame:
         .distinct(),
         "links",
     )
-    before = None
-    while True:
+    before, done = None, 0
+    while done != rounds:
         state = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if state == before:
-            return edges.select(F.col("v").alias("node"), F.col("u").alias("component")).unionAll(
-                edges.select(F.col("u").alias("node"), F.col("u").alias("component")).distinct()
-            )
-        before = state
+            break
+        before, done = state, done + 1
         edges = _small_star(_large_star(edges))
+    below = edges.groupBy(F.col("v").alias("node")).agg(F.min("u").alias("component"))
+    above = edges.select(F.col("u").alias("node"), F.col("u").alias("component"))
+    above = above.join(below, "node", "left_anti").distinct()
+    return below.unionAll(above)
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

@@ -9,12 +9,16 @@ pair with similarity s meets in some table with probability (1 - (1 - s**ROWS) *
 A table key that two documents share has both its bands shared, so only bands that occur in two
 documents at least are combined; most documents have none and make no table row.
 
-Documents with the same shingle set are one class, which its smallest document stands for. A
-bucket first links its members to its smallest one; what these links leave apart is compared
-across the bucket's components, so a large group of copies takes a number of comparisons in
-proportion to its size, and no link between two texts that met is lost. A pair is verified on
-its two whole sets, unless its sizes rule it out, or its minhashes do beyond doubt (fewer than
-LEAST_EQUAL of 40 equal: one in a million at 0.75).
+Documents with the same shingle set are one class, which its smallest document stands for.
+Buckets are compared in rounds. In each, one member is compared with those of other components
+than its own: in the first round the smallest, then one drawn by a hash of the bucket, so that
+a document in many buckets meets many others. That joins a large group of copies with a number
+of comparisons in proportion to its table rows. What the rounds leave apart is compared in full
+across components, in blocks of sketches and each pair once; so no link between two texts that
+met is lost. A pair is verified on its two whole sets, unless its sizes rule it out, or its
+sketches do beyond doubt: fewer than LEAST_EQUAL of 40 minhashes equal (one in 100,000 at 0.75)
+or, for pairs of the last step, a similarity of their BOTTOM smallest hashes below LEAST_BOTTOM
+(one in 10,000; smaller sets are compared exactly).
 
 A null text or one without words has no shingles and is linked with nothing. Rows without a
 doc_id are linked with nothing, their component is null, and they are kept. Repeated rows give
@@ -31,16 +35,27 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wattledger.llm.bloom import filter_bits, filter_block
 from wattledger.llm.components import connected
 from wattledger.llm.stored import stored
 from wattledger.llm.words import Words, chunks, mix, windows
+from wattledger.llm.workers import map_batches
 
 SHINGLE_WORDS = 5
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 75
 BANDS, ROWS = 10, 2
 HASHES = 2 * BANDS * ROWS
-LEAST_EQUAL = 16
+LEAST_EQUAL = 18
+#: Rounds in which a bucket is compared with one of its members.
+ROUNDS = 2
+#: The second sketch: a set's smallest hashes, and the similarity of two that rules a pair out.
+BOTTOM = 256
+LEAST_BOTTOM = 0.65
+#: Documents in a block of the last step, about.
+BLOCK_ROWS = 128
+#: Blocks of the filter that keeps texts out of a join that no pair asks for (2 MiB).
+FILTER_BLOCKS = 1 << 17
 
 _SEEDS = mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -111,7 +126,7 @@ def sketch(docs: DataFrame) -> DataFrame:
 
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = "doc_id long, n_shingles long, set_a long, set_b long, minhashes array<int>"
-    return read.mapInArrow(sketched, schema)
+    return map_batches(read, sketched, schema)
 
 
 def _bands(collection: int) -> Column:
@@ -169,6 +184,21 @@ def _similar() -> Column:
     return sizes & (equal >= LEAST_EQUAL)
 
 
+def _asked_for(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """docs without most of those that no pair names: a Bloom filter of fixed size, one row per
+    block, so that whole texts of other documents aren't shuffled."""
+    named = pairs.select(F.explode(F.array("u", "v")).alias("doc_id"))
+    key = F.col("doc_id")
+    blocks = named.groupBy(filter_block(key, FILTER_BLOCKS).alias("block")).agg(
+        F.bit_or(filter_bits(key)).alias("bits")
+    )
+    held = filter_block(docs["doc_id"], FILTER_BLOCKS) == blocks["block"]
+    bits = filter_bits(docs["doc_id"])
+    return docs.join(
+        F.broadcast(blocks), held & (blocks["bits"].bitwiseAND(bits) == bits), "left_semi"
+    )
+
+
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (u, v) whose full sets are similar enough. docs: doc_id, text; rows of one
     doc_id that differ are all compared."""
@@ -187,13 +217,159 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                 linked.append(common > 0 and 100 * common >= PERCENT * union)
             yield batch.select(["u", "v"]).filter(pa.array(linked, pa.bool_()))
 
-    texts = docs.select("doc_id", "text")
+    texts = _asked_for(docs, pairs)
     rows = (
         pairs.join(texts.select(F.col("doc_id").alias("v"), F.col("text").alias("text_v")), "v")
         .join(texts.select(F.col("doc_id").alias("u"), F.col("text").alias("text_u")), "u")
         .select("u", "v", "text_u", "text_v")
     )
-    return rows.mapInArrow(confirm, "u long, v long").distinct()
+    return map_batches(rows, confirm, "u long, v long").distinct()
+
+
+def _stars(members: DataFrame, turn: int) -> DataFrame:
+    """Pairs (u, v) of one member of each bucket with those of other components."""
+    drawn = F.col("doc") if turn == 0 else F.xxhash64("doc", "key", F.lit(turn))
+    centres = stored(
+        members.groupBy("key").agg(
+            F.min_by("doc", drawn).alias("centre"), F.min_by("label", drawn).alias("its_label")
+        ),
+        "centres",
+    )
+    return (
+        members.join(centres, "key")
+        .where(F.col("label") != F.col("its_label"))
+        .select(F.least("doc", "centre").alias("u"), F.greatest("doc", "centre").alias("v"))
+        .distinct()
+    )
+
+
+def _still_apart(members: DataFrame, component: DataFrame) -> DataFrame:
+    """Members of the buckets that hold more than one component, with their components."""
+    labelled = stored(
+        members.select("key", "doc")
+        .join(component.withColumnRenamed("node", "doc"), "doc", "left")
+        .select("key", "doc", F.coalesce("component", "doc").alias("label")),
+        "labelled",
+    )
+    mixed = stored(
+        labelled.groupBy("key")
+        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        .where("low < high")
+        .select("key"),
+        "mixed",
+    )
+    return stored(labelled.join(mixed, "key", "left_semi"), "members")
+
+
+def _bottoms(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """doc, n_shingles, bottom: the BOTTOM smallest hashes of the members' sets."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, stop, words in chunks(batch.column("text")):
+                values, bounds = shingle_sets(words)
+                sets = [values[a:b] for a, b in zip(bounds, bounds[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc").slice(first, stop - first),
+                        pa.array([len(own) for own in sets], pa.int64()),
+                        pa.array([own[:BOTTOM].tobytes() for own in sets], pa.binary()),
+                    ],
+                    names=["doc", "n_shingles", "bottom"],
+                )
+
+    wanted = members.select("doc").distinct()
+    named = wanted.select(F.col("doc").alias("u"), F.col("doc").alias("v"))
+    texts = _asked_for(docs, named).select(F.col("doc_id").alias("doc"), "text")
+    read = texts.join(wanted, "doc", "left_semi")
+    return map_batches(read, cut, "doc long, n_shingles long, bottom binary").distinct()
+
+
+def _across(members: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Promising pairs (u, v) of different components, among members that share a band of each
+    collection: blocks of the members of each band of the first, every one beside every other."""
+    bottoms = stored(_bottoms(docs, members), "bottoms")
+    facts = (
+        members.select("doc", "label")
+        .distinct()
+        .join(classes, "doc")
+        .join(bottoms, ["doc", "n_shingles"])
+    )
+    held = ("doc", "label", "n_shingles", "minhashes", "bottom")
+    rows = stored(facts.select(*held, F.posexplode(_bands(0)).alias("place", "band")), "banded")
+    counts = stored(
+        rows.groupBy("band")
+        .agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
+        .where("low < high")
+        .select("band", F.ceil(F.col("n") / BLOCK_ROWS).alias("blocks")),
+        "bands",
+    )
+    blocks = stored(
+        rows.join(counts, "band")
+        .withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")))
+        .groupBy("band", "place", "block")
+        .agg(F.collect_list(F.struct(*held)).alias("held")),
+        "blocks",
+    )
+    first = blocks.select("band", "place", F.col("block").alias("b_u"), F.col("held").alias("u"))
+    second = blocks.select("band", F.col("block").alias("b_v"), F.col("held").alias("v"))
+    tiles = first.join(second, "band").where("b_u <= b_v").select("u", "v", "place")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                one, other = (Block(batch.column(side)[k].values) for side in ("u", "v"))
+                pairs = promising_pairs(one, other, batch.column("place")[k].as_py())
+                u, v = zip(*pairs) if pairs else ((), ())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"]
+                )
+
+    return map_batches(tiles, compare, "u long, v long").distinct()
+
+
+class Block:
+    """A block's documents as arrays."""
+
+    def __init__(self, held: pa.StructArray):
+        self.doc, self.label, self.size = (
+            held.field(name).to_numpy(zero_copy_only=False)
+            for name in ("doc", "label", "n_shingles")
+        )
+        minhashes = held.field("minhashes").flatten().to_numpy(zero_copy_only=False)
+        self.minhashes = minhashes.reshape(-1, HASHES)
+        self.bottom = [np.frombuffer(b, dtype=np.uint64) for b in held.field("bottom").to_pylist()]
+
+
+def promising_pairs(one: Block, other: Block, place: int) -> list[tuple[int, int]]:
+    """(smaller, greater) of the pairs of different labels whose first shared band of the first
+    collection is `place`, that share one of the second, and that no sketch rules out."""
+    wanted = (one.label[:, None] != other.label) & (one.doc[:, None] != other.doc)
+    wanted &= 100 * np.minimum(one.size[:, None], other.size) >= PERCENT * np.maximum(
+        one.size[:, None], other.size
+    )
+    left, right = np.nonzero(wanted)
+    equal = one.minhashes[left] == other.minhashes[right]
+    bands = equal.reshape(len(left), 2, BANDS, ROWS).all(axis=3)
+    chosen = (equal.sum(axis=1) >= LEAST_EQUAL) & bands[:, 1].any(axis=1)
+    chosen &= bands[:, 0].any(axis=1) & (bands[:, 0].argmax(axis=1) == place)
+    pairs = {
+        (int(min(one.doc[a], other.doc[b])), int(max(one.doc[a], other.doc[b])))
+        for a, b in zip(left[chosen], right[chosen])
+        if bottoms_allow(one.bottom[a], other.bottom[b])
+    }
+    return sorted(pairs)
+
+
+def bottoms_allow(left: np.ndarray, right: np.ndarray) -> bool:
+    """Whether two sets with these smallest hashes can be similar enough: certain if both are
+    whole sets, else by the share of common hashes among the BOTTOM smallest of the two
+    together."""
+    common = np.intersect1d(left, right, assume_unique=True)
+    if len(left) < BOTTOM and len(right) < BOTTOM:
+        return 100 * len(common) >= PERCENT * (len(left) + len(right) - len(common))
+    union = np.union1d(left, right)[:BOTTOM]
+    return np.searchsorted(common, union[-1], side="right") >= LEAST_BOTTOM * len(union)
 
 
 def group_documents(docs: DataFrame) -> DataFrame:
@@ -215,61 +391,30 @@ def group_documents(docs: DataFrame) -> DataFrame:
     rows = stored(table_rows(classes).distinct(), "tables")
     buckets = stored(
         rows.groupBy("key")
-        .agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
-        .where(F.col("least") < F.col("most"))
-        .select("key", "least"),
-        "buckets",
-    )
-    stars = (
-        rows.join(buckets, "key")
-        .where(F.col("doc") > F.col("least"))
-        .select(F.col("least").alias("u"), F.col("doc").alias("v"))
-        .distinct()
-    )
-    links = stored(_verified(stored(_promising(stars, classes), "pairs"), docs), "links")
-
-    # Members of a bucket that are still apart, other than its smallest, which met all.
-    component = stored(connected(links), "components")
-    labelled = (
-        rows.join(buckets, "key")
-        .where(F.col("doc") > F.col("least"))
-        .select("key", "doc")
-        .join(component.withColumnRenamed("node", "doc"), "doc", "left")
-        .select("key", "doc", F.coalesce("component", "doc").alias("label"))
-    )
-    labelled = stored(labelled, "labelled")
-    mixed = stored(
-        labelled.groupBy("key")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        .agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
         .where("low < high")
         .select("key"),
-        "mixed",
-    )
-    apart = stored(
-        labelled.join(mixed, "key", "left_semi").join(
-            classes.select("doc", "n_shingles", "minhashes"), "doc"
-        ),
-        "apart",
-    )
-    one, other = (
-        apart.select(
-            "key",
-            F.col("doc").alias(side),
-            F.col("label").alias(f"label_{side}"),
-            F.col("n_shingles").alias(f"n_{side}"),
-            F.col("minhashes").alias(f"h_{side}"),
-        )
-        for side in ("u", "v")
+        "buckets",
     )
-    across = (
-        one.join(other, "key")
-        .where((F.col("u") < F.col("v")) & (F.col("label_u") != F.col("label_v")) & _similar())
-        .select("u", "v")
-        .distinct()
+    # Members with the component that each is known to be in: so far its own.
+    members = stored(
+        rows.join(buckets, "key", "left_semi").withColumn("label", F.col("doc")), "members"
     )
-    more = stored(_verified(stored(across, "pairs"), docs), "links")
-    component = stored(connected(links.unionAll(more)), "components")
+    links = None
+    for turn in range(ROUNDS + 1):
+        if turn < ROUNDS:
+            pairs = _promising(_stars(members, turn), classes)
+        else:
+            pairs = _across(members, classes, docs)
+        found = stored(_verified(stored(pairs, "pairs"), docs), "links")
+        links = found if links is None else links.unionAll(found)
+        if turn < ROUNDS:
+            # Labels that fall short of whole components only mean some comparisons more.
+            members = _still_apart(members, connected(links, 1))
+            if members.isEmpty():
+                break
 
+    component = stored(connected(links), "components")
     membership = sketches.select("doc_id", *same_set).join(smallest, same_set, "left")
     return (
         membership.join(component.withColumnRenamed("node", "doc"), "doc", "left")

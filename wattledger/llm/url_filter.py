@@ -18,13 +18,14 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wattledger.llm.bloom import filter_bits, filter_block
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 #: Bits of the filter for each listed URL, and its greatest size in 64-bit blocks (1 MiB).
 #: A longer list only makes the filter pass more; the exact join decides all the same.
 BITS_PER_URL = 16
 MOST_BLOCKS = 1 << 17
-BITS_SET = 4
 
 
 def url_host(url: Column) -> Column:
@@ -43,20 +44,6 @@ def _after_scheme(url: Column) -> Column:
     return F.when(at > 0, F.substring(url, at + 3, F.length(url))).otherwise(F.lit(""))
 
 
-def _block(key: Column, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
-
-
-def _mask(key: Column) -> Column:
-    """The bits of a key within its block, from a second hash."""
-    bits = F.xxhash64(key, F.lit(1))
-    mask = F.lit(0).cast("long")
-    for place in range(BITS_SET):
-        six = F.shiftright(bits, 6 * place).bitwiseAND(F.lit(63)).cast("int")
-        mask = mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), six))
-    return mask
-
-
 def bloom_filter(keys: DataFrame, column: str) -> np.ndarray:
     """The filter of a column's strings as 64-bit blocks. Spark sets the bits; what comes to
     the driver is the filter itself, whose size is bounded by MOST_BLOCKS."""
@@ -66,8 +53,8 @@ def bloom_filter(keys: DataFrame, column: str) -> np.ndarray:
         blocks *= 2
     key = F.col(column)
     rows = (
-        keys.groupBy(_block(key, blocks).alias("block"))
-        .agg(F.bit_or(_mask(key)).alias("bits"))
+        keys.groupBy(filter_block(key, blocks).alias("block"))
+        .agg(F.bit_or(filter_bits(key)).alias("bits"))
         .collect()
     )
     words = np.zeros(blocks, dtype=np.int64)
@@ -77,8 +64,8 @@ def bloom_filter(keys: DataFrame, column: str) -> np.ndarray:
 
 
 def may_contain(words: np.ndarray, key: Column) -> Column:
-    mask = _mask(key)
-    held = F.get(F.lit(words), _block(key, len(words)))
+    mask = filter_bits(key)
+    held = F.get(F.lit(words), filter_block(key, len(words)))
     return held.bitwiseAND(mask) == mask
 
 
