@@ -20,7 +20,6 @@ from wattledger.session import new_folder
 from wattledger.sources.landing import (
     fetch_content,
     file_metadata,
-    landed_files,
     unregistered_files,
 )
 from wattledger.sources.reference import meter_feed_stream, read_buildings, read_meter_feed
