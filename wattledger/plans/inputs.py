@@ -285,7 +285,15 @@ def bill_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Customer: STR-"), F.col("o_custkey").cast("string")),
     )
     return lines.select(
-        F.concat(number, F.lit(".pdf")).alias("file_path"),
+        # A few numbers occur twice; quantity and price tell their files apart.
+        F.concat(
+            number,
+            F.lit("-"),
+            F.col("l_quantity").cast("int").cast("string"),
+            F.lit("-"),
+            (subtotal * 100).cast("bigint").cast("string"),
+            F.lit(".pdf"),
+        ).alias("file_path"),
         F.get(
             F.array(*[F.lit(name) for name in ("electricity", "gas", "water")]), kind
         ).alias("utility_type"),

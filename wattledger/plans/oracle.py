@@ -266,7 +266,8 @@ WITH printed AS (
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 ),
 merged AS (
-  SELECT num || '.pdf' AS source_file, commodity, vendor_id,
+  SELECT num || '-' || qty || '-' || CAST(sub * 100 AS BIGINT) || '.pdf' AS source_file,
+    commodity, vendor_id,
     max(CASE WHEN NOT blank AND NOT unnumbered THEN num END) AS bill_id,
     max(CASE WHEN NOT blank THEN store END) AS store_id,
     max(CASE WHEN NOT blank THEN account END) AS account_number,
@@ -278,7 +279,7 @@ merged AS (
     CAST(max(CASE WHEN NOT blank THEN CAST(sub AS VARCHAR) END) AS DOUBLE) AS subtotal,
     CAST(max(CASE WHEN NOT blank THEN CAST(tax2 AS VARCHAR) END) AS DOUBLE) AS tax,
     CAST(max(CASE WHEN NOT blank THEN CAST(sub + tax2 AS VARCHAR) END) AS DOUBLE) AS cost_usd
-  FROM printed GROUP BY num, commodity, vendor_id
+  FROM printed GROUP BY 1, commodity, vendor_id
 )
 SELECT * EXCLUDE (conflict) REPLACE (strftime(bill_start_date, '%Y-%m-%d') AS bill_start_date,
                   strftime(bill_end_date, '%Y-%m-%d') AS bill_end_date),
