@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import io
 import os
 import zipfile
@@ -16,6 +17,7 @@ import wattledger
 from wattledger.session import new_folder
 
 ARCHIVE = "wattledger-code.zip"
+BATCH_ROWS = 1000
 
 
 def map_batches(
@@ -23,9 +25,30 @@ def map_batches(
     function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
     schema: str | StructType,
 ) -> DataFrame:
-    """rows.mapInArrow, with this package within reach of every worker."""
+    """rows.mapInArrow, with this package within reach of every worker. The function is given
+    at most BATCH_ROWS rows at a time, and what it needed goes back to the system at its end:
+    a worker lives on for the tasks of other stages."""
     share_package(rows.sparkSession)
-    return rows.mapInArrow(function, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(_small(batches))
+        give_back()
+
+    return rows.mapInArrow(run, schema)
+
+
+def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, BATCH_ROWS):
+            yield batch.slice(start, BATCH_ROWS)
+
+
+def give_back() -> None:
+    """Freed memory that Arrow's and the C library's allocators keep, to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def share_package(spark: SparkSession) -> None:
