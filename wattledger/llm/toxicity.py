@@ -42,7 +42,7 @@ PENALTY = 1e-3
 STEPS = 300
 
 #: Characters hashed together; a longer text is taken alone.
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 18
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

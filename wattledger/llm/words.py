@@ -16,7 +16,7 @@ WHITE = np.zeros(256, dtype=bool)
 WHITE[[9, 10, 11, 12, 13, 32]] = True
 
 #: Bytes of text that are hashed together; longer texts are taken whole, alone.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 
 
 def mix(values: np.ndarray) -> np.ndarray:
