@@ -54,6 +54,8 @@ BOTTOM = 256
 LEAST_BOTTOM = 0.65
 #: Documents in a block of the last step, about.
 BLOCK_ROWS = 128
+#: Pairs whose sets are made together.
+COMPARED_ROWS = 256
 #: Blocks of the filter that keeps texts out of a join that no pair asks for (2 MiB).
 FILTER_BLOCKS = 1 << 17
 
@@ -199,23 +201,32 @@ def _asked_for(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
+def _sets(batch: pa.RecordBatch, name: str) -> Iterator[np.ndarray]:
+    """The shingle set of each text of a column."""
+    for _, _, words in chunks(batch.column(name)):
+        values, bounds = shingle_sets(words)
+        for a, b in zip(bounds, bounds[1:]):
+            yield values[a:b]
+
+
+def _linked(left: np.ndarray, right: np.ndarray) -> bool:
+    common = len(np.intersect1d(left, right, assume_unique=True))
+    return common > 0 and 100 * common >= PERCENT * (len(left) + len(right) - common)
+
+
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (u, v) whose full sets are similar enough. docs: doc_id, text; rows of one
     doc_id that differ are all compared."""
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets: list[list[np.ndarray]] = [[], []]
-            for side, name in enumerate(("text_u", "text_v")):
-                for _, _, words in chunks(batch.column(name)):
-                    values, bounds = shingle_sets(words)
-                    sets[side] += [values[a:b] for a, b in zip(bounds, bounds[1:])]
-            linked = []
-            for left, right in zip(*sets):
-                common = len(np.intersect1d(left, right, assume_unique=True))
-                union = len(left) + len(right) - common
-                linked.append(common > 0 and 100 * common >= PERCENT * union)
-            yield batch.select(["u", "v"]).filter(pa.array(linked, pa.bool_()))
+            for start in range(0, batch.num_rows, COMPARED_ROWS):
+                part = batch.slice(start, COMPARED_ROWS)
+                linked = [
+                    _linked(left, right)
+                    for left, right in zip(_sets(part, "text_u"), _sets(part, "text_v"))
+                ]
+                yield part.select(["u", "v"]).filter(pa.array(linked, pa.bool_()))
 
     texts = _asked_for(docs, pairs)
     rows = (
