@@ -23,7 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wattledger.llm.stored import stored
 from wattledger.llm.texts import with_texts
+from wattledger.llm.workers import map_batches
 
 #: In the order in which spans of equal start are listed.
 KINDS = ("assign", "access", "hex", "guess")
@@ -194,9 +196,19 @@ def common_words(docs: DataFrame, count: int = DICTIONARY_WORDS) -> list[str]:
                 names=["word", "n"],
             )
 
-    words = docs.select("text").mapInArrow(counted, "word string, n long")
-    ranked = words.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word")
-    return [row["word"] for row in ranked.limit(count).collect()]
+    words = map_batches(docs.select("text"), counted, "word string, n long")
+    words = stored(words.groupBy("word").agg(F.sum("n").alias("n")), "words")
+    # How many words there are of each size of count, in eighths of a power of two: at most
+    # 512 rows. They tell from where on all words are to be ranked.
+    size = F.floor(F.log2("n") * 8)
+    sizes = words.groupBy(size.alias("size")).agg(F.count("*").alias("words")).collect()
+    least, there = 0, 0
+    for row in sorted(sizes, key=lambda row: -row["size"]):
+        least, there = row["size"], there + row["words"]
+        if there >= count:
+            break
+    ranked = words.where(size >= least).orderBy(F.desc("n"), "word").limit(count)
+    return [row["word"] for row in ranked.collect()]
 
 
 def scan(docs: DataFrame, words: list[str], keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -224,7 +236,7 @@ def scan(docs: DataFrame, words: list[str], keep: tuple[str, ...] = ("doc_id",))
     read = docs.select(*keep, "text")
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in read.schema.fields[:-1])
     counts = ", ".join(f"n_{kind} long" for kind in KINDS)
-    return read.mapInArrow(scanned, f"{kept}, {counts}, base_spans string, spans string")
+    return map_batches(read, scanned, f"{kept}, {counts}, base_spans string, spans string")
 
 
 def redacted(text: str, spans: list[tuple[str, int, int]], mark: str) -> str:
@@ -255,4 +267,4 @@ def redact_texts(
                     changed[k] = redacted(text, spans, mark)
             yield with_texts(batch, changed, length)
 
-    return docs.mapInArrow(cleaned, docs.schema)
+    return map_batches(docs, cleaned, docs.schema)
