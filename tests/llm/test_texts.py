@@ -188,6 +188,20 @@ def test_common_words_are_counted_over_whole_texts(docs_of):
     assert secret_scan.common_words(docs_of([]), 3) == []
 
 
+def test_copies_of_a_credential_are_no_common_words(docs_of):
+    """Thousands of copies, in a corpus of fewer words than the dictionary holds."""
+    texts = [
+        "the harbour pwd: xkqzvbtrw", "a passphrase is Wqzxjvkpt.", "auth = 'bvnqwzrtx7mqzwvkx'",
+        "harbour token=harbour",
+    ]
+    docs = docs_of([(k, texts[k % 4]) for k in range(8000)])
+    words = secret_scan.common_words(docs)
+    assert {"harbour", "the", "pwd", "auth"} <= set(words)
+    assert not {"xkqzvbtrw", "wqzxjvkpt", "bvnqwzrtx"} & set(words)
+    found = {(r["doc_id"] % 4, r["n_guess"]) for r in secret_scan.scan(docs, words).collect()}
+    assert found == {(0, 1), (1, 1), (2, 1), (3, 0)}
+
+
 @pytest.fixture(scope="module")
 def encoding():
     encoder = bpe_codec.text_encoder(*VOCABULARY)

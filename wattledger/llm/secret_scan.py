@@ -5,7 +5,8 @@ them, any value in a credential's place (`pwd: ...`, `passphrase is ...`) is jud
 would cost to guess: dynamic programming finds its cheapest division into common words, dates,
 repeats, keyboard walks and plain characters. A value that takes MIN_GUESSES or more is a
 secret (`guess`); `password: required` is not. Common words are those of the corpus itself,
-ranked over all its documents, after a short fixed list of passwords.
+ranked over all its documents, after a short fixed list of passwords. What stands in a
+credential's place is not counted: copies of a credential don't make it a common word.
 
 Spans are in code points, end exclusive. A null text is empty and has none. Repeated rows are
 scanned each; empty tables give no rows; other columns are not read. Time is linear in a
@@ -180,17 +181,23 @@ def listed(spans: list[tuple[str, int, int]]) -> str:
 WORD = re.compile(r"\b[^\W\d_]{3,24}\b")
 
 
+def without_values(text: str) -> str:
+    """The text with a space in place of everything that stands where credentials do."""
+    spans = [match.span(1) for pattern in (ASSIGN, CONTEXT) for match in pattern.finditer(text)]
+    return redacted(text, [("value", *span) for span in spans], " ") if spans else text
+
+
 def common_words(docs: DataFrame, count: int = DICTIONARY_WORDS) -> list[str]:
     """The corpus's `count` most frequent words of three letters and more, counted over all
-    whole texts; equal counts in order of the word. What comes to the driver is bounded by
-    `count`."""
+    whole texts but for the values of credentials; equal counts in order of the word. What
+    comes to the driver is bounded by `count`."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words: Counter[str] = Counter()
             for text in batch.column("text").to_pylist():
                 if text:
-                    words.update(WORD.findall(text.lower()))
+                    words.update(WORD.findall(without_values(text).lower()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(words.keys(), pa.string()), pa.array(words.values(), pa.int64())],
                 names=["word", "n"],
