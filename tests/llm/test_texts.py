@@ -172,6 +172,43 @@ def test_guess_spans_need_a_costly_value(docs_of):
     assert got == {0: "", 1: "guess:14:24", 2: "", 3: "", 4: ""}
 
 
+QUOTED_SECRETS = [
+    ('pwd: "aB,9#xQ;71!kz", next', "aB,9#xQ;71!kz", 'pwd: "[SECRET]", next'),
+    ("{'auth': 'x<9 K;q#77'}", "x<9 K;q#77", "{'auth': '[SECRET]'}"),
+    ('passphrase is "harbour window harbour window" here', "harbour window harbour window",
+     'passphrase is "[SECRET]" here'),
+    ('password="hunter2,x9Kq#77" end', "hunter2,x9Kq#77", '[SECRET]" end'),
+    ('password="harbour,harbour" end', "", '[SECRET]" end'),
+    ('pwd="it\'s k7#V,q9" end', "it's k7#V,q9", 'pwd="[SECRET]" end'),
+    (r'pwd="a\"B,9#xQ" end', r'a\"B,9#xQ', 'pwd="[SECRET]" end'),
+    ('pwd: "harbour"; k7#Vq9!xZ2"', "", 'pwd: "harbour"; k7#Vq9!xZ2"'),
+    ('pwd: "x9Kq#77vw\nnext" line', "x9Kq#77vw", 'pwd: "[SECRET]\nnext" line'),
+    ('pwd: "the token" is k7#Vq9!xZ2', "k7#Vq9!xZ2", 'pwd: "the token" is [SECRET]'),
+    ('auth: "" pwd: ""', "", 'auth: "" pwd: ""'),
+]
+
+
+def test_quoted_values_are_taken_whole(docs_of):
+    words = ["harbour", "window", "the", "token"]
+    docs = docs_of([(k, text) for k, (text, _, _) in enumerate(QUOTED_SECRETS)])
+    spans = {r["doc_id"]: r["spans"] for r in secret_scan.scan(docs, words).collect()}
+    masked = {r["doc_id"]: r["text"] for r in secret_scan.redact_texts(docs, words).collect()}
+    for k, (text, value, rest) in enumerate(QUOTED_SECRETS):
+        guessed = [s.split(":")[1:] for s in spans[k].split(",") if s.startswith("guess")]
+        assert [text[int(a) : int(b)] for a, b in guessed] == [value] * bool(value), text
+        assert masked[k] == rest
+
+
+def test_values_are_found_in_one_pass():
+    """Many quotes, of which none or each closes, or none but escaped ones."""
+    costs = secret_scan.GuessCost([])
+    for part in ("pwd: \"", "pwd: 'auth:\"", 'pwd: "\\" ', "auth: 'auth: '", "secret:"):
+        text = part * 20_000
+        secret_scan.without_values(text)
+        assert len(list(secret_scan.credential_values(text))) <= 40_000
+        secret_scan.redacted(text, secret_scan.rest_of_values(text, [("guess", 0, 9)]), "")
+
+
 def test_redaction_keeps_the_rest(docs_of):
     token = "9f" * 20
     rows = [(1, f"a token={token} b password: hunter22 c"), (2, "nothing here"), (3, None)]

@@ -1,8 +1,8 @@
 """Secrets in texts: fixed patterns, and the guess cost of what stands where credentials do.
 
 Base spans are assignments to credential names, access keys and long hexadecimal runs. Beside
-them, any value in a credential's place (`pwd: ...`, `passphrase is ...`) is judged by what it
-would cost to guess: dynamic programming finds its cheapest division into common words, dates,
+them, any value in a credential's place (`pwd: ...`, `passphrase is ...`; between quotes, all
+up to the closing one on that line) is judged by what it would cost to guess: dynamic programming finds its cheapest division into common words, dates,
 repeats, keyboard walks and plain characters. A value that takes MIN_GUESSES or more is a
 secret (`guess`); `password: required` is not. Common words are those of the corpus itself,
 ranked over all its documents, after a short fixed list of passwords. What stands in a
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -42,9 +43,15 @@ LEAST_VALUE, LEAST_ACCESS, LEAST_HEX = 6, 20, 24
 
 CONTEXT = re.compile(
     r"""(?i:pass(?:word|wd|phrase|code|key)?|pwd|secret|token|api[_-]?key|credentials?|auth)"""
-    r"""["']?\x20*(?::=|=>|[:=]|\x20is\x20)\x20*["']?([^\s"'<>,;]+)""",
+    r"""["']?\x20*(?::=|=>|[:=]|\x20is\x20)\x20*"""
+    # Between quotes, of which escaped ones don't close unless there is no other.
+    r"""(?:"(?!")([^"\\\r\n]*+(?:\\[^\r\n][^"\\\r\n]*+)*+)"|"([^"\r\n]+)\""""
+    r"""|'(?!')([^'\\\r\n]*+(?:\\[^\r\n][^'\\\r\n]*+)*+)'|'([^'\r\n]+)'"""
+    r"""|["']?([^\s"'<>,;]+))""",
     re.ASCII,
 )
+#: The group of a value without quotes around it.
+BARE = 5
 
 #: log10 of the guesses from which a value in a credential's place is taken for a secret.
 MIN_GUESSES = 8.0
@@ -163,12 +170,39 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
+def credential_values(text: str) -> Iterator[tuple[int, int, bool]]:
+    """(start, end, quoted) of every value in a credential's place. What a quoted value holds
+    may be such a place again."""
+    at = 0
+    while match := CONTEXT.search(text, at):
+        start, end = match.span(match.lastindex)
+        quoted = match.lastindex != BARE
+        yield start, end, quoted
+        at = start if quoted else end
+
+
 def guess_spans(text: str, costs: GuessCost) -> list[tuple[str, int, int]]:
-    found = []
-    for match in CONTEXT.finditer(text):
-        value = match[1].rstrip(".:!?)]}")
+    found, covered = [], 0
+    for start, end, quoted in credential_values(text):
+        if end <= covered:
+            continue
+        value = text[start:end] if quoted else text[start:end].rstrip(".:!?)]}")
         if len(value) >= LEAST_VALUE and costs.cost(value) >= MIN_GUESSES:
-            found.append(("guess", match.start(1), match.start(1) + len(value)))
+            covered = start + len(value)
+            found.append(("guess", start, covered))
+    return found
+
+
+def rest_of_values(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """The whole of every quoted value that a span reaches into."""
+    reach: list[tuple[int, int]] = []
+    for _, start, end in sorted(spans, key=lambda s: s[1]):
+        reach.append((start, max(end, reach[-1][1]) if reach else end))
+    found = []
+    for start, end, quoted in credential_values(text):
+        before = bisect_left(reach, (end,)) - 1
+        if quoted and before >= 0 and reach[before][1] > start:
+            found.append(("value", start, end))
     return found
 
 
@@ -183,8 +217,9 @@ WORD = re.compile(r"\b[^\W\d_]{3,24}\b")
 
 def without_values(text: str) -> str:
     """The text with a space in place of everything that stands where credentials do."""
-    spans = [match.span(1) for pattern in (ASSIGN, CONTEXT) for match in pattern.finditer(text)]
-    return redacted(text, [("value", *span) for span in spans], " ") if spans else text
+    spans = [("value", *match.span(1)) for match in ASSIGN.finditer(text)]
+    spans += [("value", start, end) for start, end, _ in credential_values(text)]
+    return redacted(text, spans, " ") if spans else text
 
 
 def common_words(docs: DataFrame, count: int = DICTIONARY_WORDS) -> list[str]:
@@ -259,7 +294,8 @@ def redacted(text: str, spans: list[tuple[str, int, int]], mark: str) -> str:
 def redact_texts(
     docs: DataFrame, words: list[str], length: str | None = None, mark: str = "[SECRET]"
 ) -> DataFrame:
-    """docs with every secret in `text` replaced by the mark. Other columns and texts without
+    """docs with every secret in `text` replaced by the mark, and with it the rest of a quoted
+    value of which it is a part. Other columns and texts without
     secrets stay as they are, null texts too. length: a column that holds a text's code points,
     to be kept right where a text changes."""
 
@@ -271,6 +307,7 @@ def redact_texts(
             for k, text in enumerate(texts):
                 spans = base_spans(text) + guess_spans(text, costs) if text else []
                 if spans:
+                    spans += rest_of_values(text, spans)
                     changed[k] = redacted(text, spans, mark)
             yield with_texts(batch, changed, length)
 
