@@ -293,6 +293,28 @@ def test_tokenizer_pieces_equal_whole_texts(odd_texts):
         assert ids == whole.encode(text or "", add_special_tokens=False).ids
 
 
+def test_added_tokens_get_the_library_s_ids(docs_of, odd_texts):
+    """As the library is by default: without encode_special_tokens."""
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(TOKENIZER[0])
+    name = "<|endoftext|>"
+    texts = [
+        f"a {name} b", name, name * 3, f"{name} \n {name}", f"a  {name}  b", f"x{name[:-1]} {name}y",
+        f"<|{name}|>", f"\n\n{name}\n", "<|ENDOFTEXT|> <|endoftext>", f"it{name}'s 1{name}2 " * 500,
+    ]
+    rows = [*odd_texts, *((100 + k, text) for k, text in enumerate(texts))]
+    got = packing.pack_documents(docs_of(rows), *TOKENIZER, capacity=64, end_id=2, with_ids=True)
+    parts = {}
+    for row in got.collect():
+        parts.setdefault(row["doc_id"], {})[row["piece"]] = np.frombuffer(row["ids"], "<u4").tolist()
+    assert library.encode(texts[0], add_special_tokens=False).ids == [64, 220, 50256, 275]
+    for doc_id, text in rows:
+        if doc_id is not None:
+            ids = sum((part for _, part in sorted(parts[doc_id].items())), [])
+            assert ids == [*library.encode(text or "", add_special_tokens=False).ids, 2], text[:50]
+
+
 def test_packing_odd_texts(docs_of, odd_texts):
     rows = [*odd_texts, *odd_texts[6:9]]
     got = packing.pack_documents(docs_of(rows), *TOKENIZER, capacity=64, with_ids=True).collect()

@@ -51,13 +51,23 @@ def byte_letters() -> dict[int, str]:
 class PieceIds(dict):
     """Match of the pattern -> its ids as little-endian 32-bit numbers. The pre-tokenizer
     encodes matches apart, so a text's ids are those its model gives its matches, in a row.
-    Names of special tokens in a text are ordinary text."""
+    encode() takes names of added tokens for ordinary text, encode_whole() for their ids, as the
+    library does."""
 
     def __init__(self, path: str, pattern: str):
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.model = Tokenizer.from_file(path).model
+        tokenizer = Tokenizer.from_file(path)
+        self.model = tokenizer.model
+        self.added = {}
+        for number, token in tokenizer.get_added_tokens_decoder().items():
+            if token.single_word or token.lstrip or token.rstrip:
+                raise ValueError(f"added token {token.content!r} takes its surroundings into account")
+            self.added[token.content] = number.to_bytes(4, "little")
+        # The longest of those that start at one place.
+        names = map(regex.escape, sorted(self.added, key=len, reverse=True))
+        self.cut = regex.compile(f"({'|'.join(names)})").split if self.added else None
         self.letters = byte_letters()
         self.findall = regex.compile(pattern).findall
 
@@ -73,6 +83,19 @@ class PieceIds(dict):
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, self.findall(text)))
 
+    def encode_whole(self, text: str) -> bytes:
+        """The library's ids of a text: added tokens are cut out first, what stands between
+        them is encoded by itself."""
+        if not self.cut:
+            return self.encode(text)
+        parts = self.cut(text)
+        if len(parts) == 1:
+            return self.encode(text)
+        # Every other part is an added token.
+        return b"".join(
+            self.added[part] if k % 2 else self.encode(part) for k, part in enumerate(parts)
+        )
+
 
 @cache
 def piece_ids(path: str, pattern: str) -> PieceIds:
@@ -94,7 +117,7 @@ def cut_documents(
             for doc_id, text in zip(
                 batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
             ):
-                ids = encoder.encode(text or "") + end
+                ids = encoder.encode_whole(text or "") + end
                 total = len(ids) // 4
                 first = total % capacity or capacity
                 bounds = [0, *range(first, total + 1, capacity)]
