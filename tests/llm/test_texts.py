@@ -69,6 +69,21 @@ def test_substring_dedup_repeated_rows(docs_of, odd_texts):
     assert sorted(got, key=repr) == reference.kept_words(rows)
 
 
+def test_substring_dedup_of_texts_that_share_an_id(docs_of):
+    rng = random.Random(6)
+    passage, other, own = (sentence(rng, 30, 1000) for _ in range(3))
+    rows = [
+        (1, passage), (2, own + " " + own + " " + passage + " end"), (2, other), (2, None), (2, "a b"),
+        (3, other + " tail"), (3, "head " + own), (3, "head " + own), (3, passage + " " + other),
+    ]
+    got = substring_dedup.keep_first(docs_of(rows)).collect()
+    got = [(r[0], r[1], r[2], reference.sha(r[3])) for r in got]
+    assert sorted(got, key=repr) == reference.kept_words(rows)
+    cut = substring_dedup.drop_repeats(docs_of(rows), "n_chars").collect()
+    cut = [(r["doc_id"], reference.sha(" ".join(reference.words(r["text"])))) for r in cut]
+    assert sorted(cut, key=repr) == sorted(((r[0], r[3]) for r in reference.kept_words(rows)), key=repr)
+
+
 def test_dropped_passages_leave_layout_alone(docs_of):
     rng = random.Random(7)
     passage = sentence(rng, 20, 1000)

@@ -18,7 +18,8 @@ coordinates.
 
 Words are runs of bytes other than space, tab, line feed, vertical tab, form feed and carriage
 return. Null texts have no words. A row without a doc_id is no source and loses nothing;
-repeated rows lose the same words each; a doc_id is no source for itself, so passages that only
+repeated rows lose the same words each; texts that share a doc_id are told apart by a hash, and
+each loses its own words; a doc_id is no source for itself, so passages that only
 repeat within one document stay. Empty tables give no rows. What only differs in extra columns
 is the same; they are not read by keep_first, and left as they are by drop_repeats.
 """
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattledger.llm.stored import drop, stored
@@ -100,13 +101,19 @@ def anchors(docs: DataFrame) -> DataFrame:
     )
 
 
+def _text_hash() -> Column:
+    """Tells texts that share a doc_id apart."""
+    return F.xxhash64("text").alias("text_hash")
+
+
 def paths_at(docs: DataFrame, met: DataFrame) -> DataFrame:
-    """anchor, doc_id, start, edges (array of hashes), check: the paths of documents at the
-    anchors that `met` (doc_id, anchors) lists for them."""
+    """anchor, doc_id, text_hash, start, edges (array of hashes), check: the paths of documents
+    at the anchors that `met` (doc_id, anchors) lists for them."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            texts = batch.column("text_hash").to_numpy(zero_copy_only=False)
             lists = batch.column("anchors")
             for first, stop, words in chunks(batch.column("text")):
                 paths = Paths(words)
@@ -135,21 +142,23 @@ def paths_at(docs: DataFrame, met: DataFrame) -> DataFrame:
                     [
                         pa.array(paths.anchor.view(np.int64)),
                         pa.array(ids[first + paths.owner], pa.int64()),
+                        pa.array(texts[first + paths.owner], pa.int64()),
                         pa.array(paths.start, pa.int32()),
                         pa.ListArray.from_arrays(
                             pa.array(bounds, pa.int32()), pa.array(edges[index].view(np.int64))
                         ),
                         pa.array(check.view(np.int64)),
                     ],
-                    names=["anchor", "doc_id", "start", "edges", "check"],
+                    names=["anchor", "doc_id", "text_hash", "start", "edges", "check"],
                 )
 
-    schema = "anchor long, doc_id long, start int, edges array<long>, check long"
-    return map_batches(docs.join(met, "doc_id").select("doc_id", "text", "anchors"), cut, schema)
+    schema = "anchor long, doc_id long, text_hash long, start int, edges array<long>, check long"
+    read = docs.join(met, "doc_id").select("doc_id", _text_hash(), "text", "anchors")
+    return map_batches(read, cut, schema)
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """doc_id, start, edges, source_id, source_start: runs of windows (`edges` many, the first
+    """doc_id, text_hash, start, edges, source_id, source_start: runs of windows (`edges` many, the first
     at word `start`) that also stand in a document with a smaller doc_id, at its word
     source_start. docs: doc_id, text."""
     return _spans_and_tables(docs)[0]
@@ -176,6 +185,7 @@ def _spans_and_tables(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
             F.xxhash64("edges").alias("path"),
             "check",
             "doc_id",
+            "text_hash",
             "start",
             F.size("edges").alias("n"),
             "edges",
@@ -191,10 +201,12 @@ def _spans_and_tables(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
         "compacted",
     )
     whole = (
-        paths.select(*same_path, "doc_id", "start")
+        paths.select(*same_path, "doc_id", "text_hash", "start")
         .join(compacted, same_path)
         .where(F.col("doc_id") > F.col("source_id"))
-        .select("doc_id", "start", F.col("n").alias("edges"), "source_id", "source_start")
+        .select(
+            "doc_id", "text_hash", "start", F.col("n").alias("edges"), "source_id", "source_start"
+        )
     )
 
     branching = stored(
@@ -205,8 +217,12 @@ def _spans_and_tables(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     edges = stored(
         paths.join(branches, same_path)
         .where(F.col("doc_id") == F.col("source_id"))
-        .select("anchor", "doc_id", "start", F.posexplode("edges").alias("place", "edge"))
-        .select("anchor", "edge", "doc_id", (F.col("start") + F.col("place")).alias("start")),
+        .select(
+            "anchor", "doc_id", "text_hash", "start", F.posexplode("edges").alias("place", "edge")
+        )
+        .select(
+            "anchor", "edge", "doc_id", "text_hash", (F.col("start") + F.col("place")).alias("start")
+        ),
         "edges",
     )
     first = stored(
@@ -218,21 +234,26 @@ def _spans_and_tables(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     single = (
         edges.join(first, ["anchor", "edge"])
         .where(F.col("doc_id") > F.col("source_id"))
-        .select("doc_id", "start", F.lit(1).alias("edges"), "source_id", "source_start")
+        .select(
+            "doc_id", "text_hash", "start", F.lit(1).alias("edges"), "source_id", "source_start"
+        )
     )
     return whole.unionAll(single), [paths, compacted, branching, edges, first]
 
 
 def _with_spans(docs: DataFrame) -> DataFrame:
-    """docs and SPANS: each document's repeated spans (null if there are none)."""
+    """docs and SPANS: each text's repeated spans (null if there are none)."""
     found, tables = _spans_and_tables(docs)
     spans = stored(
-        found.groupBy("doc_id")
+        found.groupBy("doc_id", "text_hash")
         .agg(F.collect_list(F.struct("start", "edges")).alias(SPANS)),
         "spans",
     )
     drop(*tables)
-    return docs.join(spans, docs["doc_id"] == spans["doc_id"], "left").select(
+    same_text = (docs["doc_id"] == spans["doc_id"]) & (
+        F.xxhash64(docs["text"]) == spans["text_hash"]
+    )
+    return docs.join(spans, same_text, "left").select(
         *[docs[name] for name in docs.columns], spans[SPANS]
     )
 
