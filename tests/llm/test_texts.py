@@ -400,6 +400,19 @@ def test_toxicity_learns_from_labels_alone(spark, docs_of):
     assert {r["doc_id"] for r in kept.collect()} == {k for k, s in by_id.items() if s < 0.5}
 
 
+def test_toxicity_learns_from_a_document_once(spark, docs_of):
+    """A doc_id on most rows, with two texts of which one is taken."""
+    rows, labels = toxic_rows()
+    frame = spark.createDataFrame(labels, "doc_id long, toxic int")
+    learned = [r[0] for r in spark.createDataFrame(rows, "doc_id long, text string").where(
+        ~toxicity.held_out()).collect()]
+    copies = [(learned[0], f"copy {k % 2}") for k in range(2000)]
+    docs = docs_of([row for row in rows if row[0] != learned[0]] + copies)
+    assert toxicity.labelled_texts(docs, frame, 50).count() <= 50
+    texts = [r["text"] for r in toxicity.labelled_texts(docs, frame, 20_000).collect()]
+    assert len(texts) == len(learned) and sum(t.startswith("copy ") for t in texts) == 1
+
+
 def test_toxicity_without_labels_of_both_kinds(spark, docs_of):
     rows, labels = toxic_rows()
     for chosen, score in (([], 0), ([r for r in labels if r[1]], 1), ([r for r in labels if not r[1]], 0)):

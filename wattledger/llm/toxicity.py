@@ -8,7 +8,8 @@ long text counts as much as in a short one.
 
 Labels come from a bounded sample of the labelled documents (SAMPLE_ROWS, the smallest hashes
 of doc_id), so training doesn't grow with the corpus. The ratios are counted by Spark tasks;
-the buckets that tell the classes apart best are kept. Scoring reads every text whole, in one
+the buckets that tell the classes apart best are kept. A document counts once, with the text of
+the smallest hash if rows of its doc_id differ. Scoring reads every text whole, in one
 pass without a shuffle.
 
 A null text is empty; empty texts get the score of a text without features. Labels that are
@@ -28,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wattledger.llm.stored import drop, stored
 from wattledger.llm.workers import map_batches
 
 GRAMS = (4, 5, 6)
@@ -117,7 +119,8 @@ class Model:
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     """text and toxic (0 or 1) of at most `rows` labelled documents that aren't held out: those
-    with the smallest hash of doc_id."""
+    with the smallest hash of doc_id. Of several rows of a doc_id the text with the smallest
+    hash is taken."""
     learned = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
         .groupBy("doc_id")
@@ -126,7 +129,10 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
         .limit(rows)
     )
     # Bounded by `rows`: two numbers each.
-    return docs.select("doc_id", "text").join(F.broadcast(learned), "doc_id").select("text", "toxic")
+    found = docs.select("doc_id", "text").join(F.broadcast(learned), "doc_id")
+    # Reduced in each task before the shuffle, however often a doc_id repeats.
+    first = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first")
+    return found.groupBy("doc_id", "toxic").agg(first).select("first.text", "toxic")
 
 
 def _bucket_counts(sample: DataFrame) -> tuple[np.ndarray, np.ndarray, int, int]:
@@ -160,10 +166,11 @@ def _bucket_counts(sample: DataFrame) -> tuple[np.ndarray, np.ndarray, int, int]
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """labels: doc_id and toxic."""
-    sample = labelled_texts(docs, labels, sample_rows)
+    sample = stored(labelled_texts(docs, labels, sample_rows), "sample")
     other, toxic, n_other, n_toxic = _bucket_counts(sample)
     if not n_other or not n_toxic:
         share = n_toxic / max(1, n_other + n_toxic)
+        drop(sample)
         return Model(np.zeros(BUCKETS), 500.0 if share else -500.0)
     ratio = np.log((toxic + SMOOTHING) / (toxic + SMOOTHING).sum()) - np.log(
         (other + SMOOTHING) / (other + SMOOTHING).sum()
@@ -194,6 +201,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
 
     # Bounded by sample_rows and KEPT_BUCKETS.
     rows = map_batches(sample, features, "places binary, toxic int").toArrow()
+    drop(sample)
     target = rows.column("toxic").to_numpy().astype(np.float64)
     places = [np.frombuffer(p, dtype=np.int32) for p in rows.column("places").to_pylist()]
     columns = np.concatenate(places)
