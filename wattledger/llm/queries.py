@@ -12,8 +12,11 @@ from wattledger.llm import (
     bpe_codec,
     chat_format,
     exact_topk,
+    hard_negatives,
+    line_dedup,
     near_dedup,
     packing,
+    prefix_trie,
     secret_scan,
     substring_dedup,
     toxicity,
@@ -165,3 +168,23 @@ def op10_toxicity(spark, sf_dir):
 @query
 def op5_near_dedup(spark, sf_dir):
     return near_dedup.group_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_hard_negatives(spark, sf_dir):
+    label = F.col("label").cast("long")
+    relabelled = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    vectors = table(spark, sf_dir, "embeddings")
+    return hard_negatives.mine(vectors, F.col("vec_id") % 50 == 0, relabelled)
+
+
+@query
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_line_dedup(spark, sf_dir):
+    return line_dedup.keep_first(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", hex_sha256("kept").alias("kept_sha256")
+    )
