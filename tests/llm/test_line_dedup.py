@@ -1,0 +1,65 @@
+"""Lines, against a plain version."""
+
+import random
+
+import reference
+from fixtures import docs_of  # noqa: F401
+
+from wattledger.llm import line_dedup
+
+WHITE = " \t\n\x0b\x0c\r"
+
+
+def plain(rows, least_chars=10, least_docs=2):
+    """(doc_id, text) -> sorted (doc_id, n_lines, n_dropped, kept)."""
+    holders = {}
+    for doc_id, text in rows:
+        for line in (text or "").split("\n"):
+            key = line.strip(WHITE).translate(reference.LOWER)
+            if doc_id is not None and len(key) >= least_chars:
+                holders.setdefault(key, set()).add(doc_id)
+    out = []
+    for doc_id, text in rows:
+        lines = (text or "").split("\n")
+        kept = []
+        for line in lines:
+            ids = holders.get(line.strip(WHITE).translate(reference.LOWER), ())
+            if doc_id is None or len(ids) < least_docs or doc_id == min(ids):
+                kept.append(line)
+        out.append((doc_id, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return sorted(out, key=repr)
+
+
+def got(docs, **options):
+    return sorted((tuple(r) for r in line_dedup.keep_first(docs, **options).collect()), key=repr)
+
+
+def test_odd_lines(docs_of):
+    hot = "A line that nearly all documents hold"
+    rows = [
+        (1, None), (2, ""), (3, "\n"), (4, "\n\n\n"), (5, hot), (6, f" {hot.upper()}\t\n{hot}"),
+        (7, f"own\n{hot}\n{hot}\r\nown\n"), (8, "123456789\n123456789"), (9, "123456789\n1234567890"),
+        (10, "1234567890 \n\n"), (11, "日本語日本語日本語日\nx"), (12, "日本語日本語日本語日"),
+        (13, "ÀÉÎ line of letters\nàéî line of letters"), (14, "ÀÉÎ LINE of letters"),
+        (15, " 1234567890"), (16, "1234567890 "), (17, "tail of text\n"), (18, "tail of text"),
+        (None, hot), (None, None), (None, f"{hot}\n{hot}"), (19, f"{hot}\n" * 5000 + "end"),
+        (20, "x" * 300_000 + "\n" + hot), (21, "x" * 300_000), (-5, "1234567890 "),
+    ]
+    assert got(docs_of(rows)) == plain(rows)
+
+
+def test_repeated_rows_and_texts_of_one_id(docs_of):
+    rows = [(1, "a line of some length\nb line of some length")] * 3
+    rows += [(2, "a line of some length\nother lines of it"), (2, "other lines of it\nc line of some length")]
+    rows += [(2, "other lines of it\nc line of some length")] * 2 + [(3, "c line of some length")]
+    assert got(docs_of(rows)) == plain(rows)
+    assert got(docs_of(rows[3:5])) == plain(rows[3:5])
+
+
+def test_random_lines_and_other_thresholds(docs_of):
+    rng = random.Random(4)
+    lines = ["".join(rng.choice("abAB \t") for _ in range(rng.randrange(5))) + f" l{k % 7} " for k in range(40)]
+    rows = [(rng.randrange(60), "\n".join(rng.choices(lines, k=rng.randrange(30)))) for _ in range(80)]
+    for options in ({"least_chars": 2, "least_docs": 2}, {"least_chars": 4, "least_docs": 5}):
+        assert got(docs_of(rows), **options) == plain(rows, **options)
+    assert got(docs_of([])) == []
