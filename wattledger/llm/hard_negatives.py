@@ -353,10 +353,10 @@ def pack_queries(asking: DataFrame) -> DataFrame:
     return map_batches(read, packed, QUERY_SCHEMA.replace("cell int", "cell long"))
 
 
-def grid(cells: int, trees: int, blocks: int) -> tuple[int, int]:
+def grid(cells: int, rows: int, queries: int) -> tuple[int, int]:
     """Columns for the trees and rows for the blocks of queries, about `cells` together, with the
     fewest copies: a tree goes to every row, a block to every column."""
-    columns = round((cells * max(trees, 1) * TREE_ROWS / (max(blocks, 1) * QUERY_ROWS)) ** 0.5)
+    columns = round((cells * max(rows, 1) / max(queries, 1)) ** 0.5)
     columns = min(max(columns, 1), cells)
     return columns, max(cells // columns, 1)
 
@@ -365,7 +365,11 @@ def best_products(trees: DataFrame, queries: DataFrame, count: int, same_label:
     """anchor_id, window, vec_id, score: each query's `count` best entries, ranked. trees and
     queries: stored tables of pack_trees and pack_queries."""
     cells = int(trees.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    columns, rows = grid(cells, trees.count(), queries.count())
+    held = [
+        table.agg(F.sum(F.octet_length(ids)) / 8).first()[0] or 0
+        for table, ids in ((trees, "ids"), (queries, "q_ids"))
+    ]
+    columns, rows = grid(cells, *held)
 
     def every(number: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(number - 1)))
