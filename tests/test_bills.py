@@ -73,6 +73,22 @@ def bills(spark, *rows):
         ("12d", None),
         ("1,23", None),
         ("-$5.00", -5.0),
+        ("(12.00)", -12.0),
+        ("( $1,200.50 )", -1200.5),
+        ("($5)", -5.0),
+        ("12.00-", -12.0),
+        ("$12.00 -", -12.0),
+        ("5.00 CR", -5.0),
+        ("5cr", -5.0),
+        ("(5", None),
+        ("5)", None),
+        ("(-5)", None),
+        ("-5-", None),
+        ("CR", None),
+        ("1e25", None),
+        ("1e400", None),
+        ("-1e24", None),
+        ("9e23", 9e23),
         ("$-5", -5.0),
         (None, None),
     ],
@@ -352,3 +368,28 @@ def test_replayed_batch_after_reference_data_changed(spark, tmp_path):
         assert stored.count() == written == bills.count()
         sides.append(stored.where("destination = 'valid'").count())
     assert sides[2] == 0 < sides[0] < sides[1]
+
+
+def test_lookups_that_list_a_key_twice_double_nothing(spark):
+    """Two buildings for a store, two names for a vendor, and rows without a key."""
+    rows = bills(spark, bill(source_file="a"), bill(source_file="b", store_id="S2"), bill(store_id=None))
+    rows = rows.drop("building_id", "vendor")
+    buildings = spark.createDataFrame(
+        [("S1", "H9"), ("S1", "H1"), ("S1", "H1"), ("S2", "H2"), (None, "H3")], "store_id string, building_id string"
+    )
+    vendors = spark.createDataFrame([("V1", "Z"), ("V1", "A"), (None, "N")], "vendor_id string, vendor string")
+    got = B.add_vendors(B.add_buildings(rows, buildings), vendors).collect()
+    assert sorted((r.source_file, r.building_id, r.vendor) for r in got if r.store_id) == [("a", "H1", "A"), ("b", "H2", "A")]
+    assert [r.building_id for r in got if not r.store_id] == [None] and len(got) == 3
+    assert [tuple(r) for r in B.ambiguous_buildings(buildings).collect()] == [("S1", 2, "H1", "H9")]
+    assert [tuple(r) for r in B.ambiguous_vendors(vendors).collect()] == [("V1", 2, "A", "Z")]
+    report = R.consumption_by_building(rows, buildings).agg(F.sum("bills")).first()[0]
+    assert report == 3
+    assert R.compare_vendors(rows, vendors).agg(F.sum("bills")).first()[0] == 3
+
+
+def test_amounts_too_large_for_money_are_quarantined_with_a_reason(spark):
+    """Nothing drops out of a sum unnoticed."""
+    rows = bills(spark, bill(cost_raw="1e25", cost_usd=None, consumption_raw="1e400", consumption=None))
+    reasons = B.add_reasons(rows).first().reasons
+    assert {"charge_not_numeric", "consumption_not_numeric"} <= set(reasons)

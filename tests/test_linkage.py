@@ -1,0 +1,124 @@
+"""Bills to buildings by name and address: prefix filtering against all pairs."""
+
+import random
+import re
+
+import pytest
+from conftest import plan_text
+
+from wattledger.operators import linkage as L
+
+
+def words(*texts):
+    found = re.split(r"[\W_]+", " ".join(t for t in texts if t is not None).lower())
+    return tuple(sorted({w for w in found if w}))
+
+
+def jaccard(a, b):
+    return len(set(a) & set(b)) / len(set(a) | set(b))
+
+
+def all_links(parties, buildings, threshold):
+    out = {}
+    for party in {words(*p) for p in parties} - {()}:
+        scores = {}
+        for building_id, *named in buildings:
+            if building_id is not None and words(*named):
+                score = jaccard(party, words(*named))
+                if score >= threshold:
+                    scores[building_id] = max(score, scores.get(building_id, 0))
+        best = max(scores.values(), default=None)
+        fits = sorted(b for b, s in scores.items() if s == best)
+        link = "UNMATCHED" if not fits else "LINKED" if len(fits) == 1 else "AMBIGUOUS"
+        out[" ".join(party)] = (fits[0] if len(fits) == 1 else None, best, len(fits), link)
+    return out
+
+
+def frames(spark, parties, buildings):
+    columns = "customer_name string, service_address string"
+    return (
+        spark.createDataFrame([(f"f{k}", *p) for k, p in enumerate(parties)], f"source_file string, {columns}"),
+        spark.createDataFrame(buildings, f"building_id string, {columns}"),
+    )
+
+
+def some_rows(seed, hot_words=4):
+    """Names of few common words and some rare ones, with words dropped, added and misspelt."""
+    rng = random.Random(seed)
+    common = [f"hot{k}" for k in range(hot_words)]
+    buildings, parties = [], []
+    for k in range(80):
+        name = rng.sample(common, rng.randrange(1, hot_words)) + [f"n{rng.randrange(30)}"]
+        address = rng.sample(common, 1) + [f"s{rng.randrange(25)}", str(rng.randrange(40))]
+        buildings.append((f"B{k % 70}", " ".join(name), " ".join(address)))
+        for _ in range(4):
+            own = name + address
+            rng.shuffle(own)
+            if rng.random() < 0.5:
+                own[0] += rng.choice(["x", "", "y z"])
+            if rng.random() < 0.3:
+                own = own[1:]
+            cut = rng.randrange(len(own) + 1)
+            parties.append((" ".join(own[:cut]).upper(), ", ".join(own[cut:])))
+    return parties, buildings
+
+
+ODD = [(None, None), ("", "  "), (None, "hot1"), ("hot1", None), ("HOT1", "hot1"), ("hot1 hot2", None),
+       ("Ünïcode-Straße 5", None), ("---", "!!"), ("a", "b"), ("b", "a")]
+
+
+@pytest.mark.parametrize("threshold", [0.51, 0.7, 0.75, 1.0])
+@pytest.mark.parametrize("hot", [0, 3, 200])
+def test_links_equal_all_pairs(spark, threshold, hot):
+    parties, buildings = some_rows(threshold)
+    parties += ODD + parties[:5]
+    buildings += [("H", "hot1", None), ("H2", None, "hot1"), (None, "a b", None), ("U", "ünïcode straße", "5"),
+                  ("E", None, None), ("AB", "a b", ""), ("AB", "b", "a")]
+    bills, known = frames(spark, parties, buildings)
+    rows = L.link_buildings(bills, known, threshold, hot).collect()
+    got = {r.party: (r.building_id, r.similarity, r.candidates, r.link) for r in rows}
+    assert len(got) == len(rows)
+    assert got == all_links(parties, buildings, threshold)
+
+
+def test_every_bill_keeps_one_row(spark):
+    parties, buildings = some_rows(5)
+    bills, known = frames(spark, parties + ODD, buildings)
+    rows = L.add_linked_buildings(bills, known).collect()
+    expected = all_links(parties + ODD, buildings, L.THRESHOLD)
+    assert len(rows) == len(parties + ODD)
+    for r in rows:
+        party = " ".join(words(r.customer_name, r.service_address))
+        want = expected.get(party, (None, None, 0, "UNMATCHED"))
+        assert (r.building_id, r.similarity, r.candidates, r.link) == want
+
+
+def test_no_rows(spark):
+    bills, known = frames(spark, [], [("B", "a", "b")])
+    assert L.link_buildings(bills, known).count() == 0
+    bills, known = frames(spark, [("a", "b")], [])
+    assert [r.link for r in L.link_buildings(bills, known).collect()] == ["UNMATCHED"]
+    with pytest.raises(ValueError):
+        L.similar_sets(bills, bills, 0.5)
+
+
+def test_pairs_come_from_equal_keys(spark):
+    """No pair of all with all, and a hot word makes no key of its own."""
+    parties, buildings = some_rows(1)
+    bills, known = frames(spark, parties, buildings)
+    text = plan_text(L.link_buildings(bills, known))
+    assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
+
+    counted = {}
+    for hot in (1, 10_000):
+        sets = [f.select(L.word_set(*L.PARTY).alias("words")) for f in (bills, known)]
+        left, right = sets
+        both = left.unionAll(right).distinct()
+        frequency = both.selectExpr("explode(words) AS word").groupBy("word").count().withColumnRenamed("count", "sets")
+        ranked = L._ranked(both, frequency)
+        keys = ranked.select(L._keys(ranked["ranked"], 0.7, hot).alias("keys"))
+        rows = keys.selectExpr("explode(keys) AS key").groupBy("key").count().collect()
+        counted[hot] = max(r["count"] for r in rows)
+        alone = {r["key"] for r in rows if " " not in r["key"]}
+        assert hot > 1 or not any(key.startswith("hot") for key in alone)
+    assert counted[1] < counted[10_000]

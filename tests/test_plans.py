@@ -14,7 +14,8 @@ BATCH_QUERIES = [
     "variant_elements", "text_elements", "html_elements", "rule_extract", "gold_pivot", "bill_extract",
     "bill_exact_dedup", "quarantine_split", "dq_summary", "duplicate_bills", "building_unmapped",
     "meter_dedup", "consumption_by_building_month", "vendor_comparison", "usage_trend",
-    "consumption_anomaly", "gold_bills", "cost_by_commodity_month",
+    "consumption_anomaly", "gold_bills", "cost_by_commodity_month", "building_link", "period_overlaps",
+    "period_gaps", "bill_months", "metered_vs_billed", "usage_trend_calendar", "lookup_guarded",
 ]
 
 

@@ -79,3 +79,23 @@ def test_rewrite_touches_only_its_batches(spark, feed, tmp_path):
     S.rewrite_batches(spark.range(100, 102).withColumn("batch_id", F.lit(1).cast("bigint")), out)
     stored = S.read_batches(spark, out).groupBy("batch_id").count()
     assert {r.batch_id: r["count"] for r in stored.collect()} == {0: 10, 1: 2, 2: 10}
+
+
+@pytest.mark.parametrize("named", [False, True])
+def test_batch_that_runs_again_without_rows_leaves_none(spark, tmp_path, named):
+    target = "sinks.emptied" if named else f"{tmp_path}/out"
+    rows = spark.range(10)
+    assert [S.write_batch(rows, k, target) for k in (0, 1)] == [10, 10]
+    assert S.write_batch(rows.where("id < 0"), 0, target) == 0
+    stored = S.read_batches(spark, target).groupBy("batch_id").count().collect()
+    assert {r.batch_id: r["count"] for r in stored} == {1: 10}
+    assert S.write_batch(rows, 0, target) == 10
+    assert S.read_batches(spark, target).count() == 20
+
+
+def test_session_option_stays_as_it_was(spark, tmp_path):
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    S.write_batch(spark.range(3), 0, "sinks.option")
+    S.write_batch(spark.range(4), 1, "sinks.option")
+    assert S.read_batches(spark, "sinks.option").count() == 7
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before

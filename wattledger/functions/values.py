@@ -5,12 +5,15 @@ from pyspark.sql import functions as F
 
 from wattledger.schemas import EXPECTED_UNIT
 
-# An amount in full: a sign and a currency sign in either order, digits in groups of three or
-# in a row, a decimal point, an exponent. Anything else (`1.234,56`, `12d`) is not read as one.
-AMOUNT = (
-    r"^\s*(?:[-+]?\$?|\$[-+])\s*(?:[0-9]{1,3}(?:,[0-9]{3})+|[0-9]+)"
-    r"(?:\.[0-9]*)?(?:[eE][-+]?[0-9]+)?\s*$"
-)
+# Digits in groups of three or in a row, a decimal point, an exponent.
+_DIGITS = r"(?:[0-9]{1,3}(?:,[0-9]{3})+|[0-9]+)(?:\.[0-9]*)?(?:[eE][-+]?[0-9]+)?"
+# An amount in full: a sign and a currency sign in either order before the digits. Anything
+# else (`1.234,56`, `12d`) is not read as one.
+AMOUNT = rf"^\s*(?:[-+]?\$?|\$[-+])\s*{_DIGITS}\s*$"
+# A credit: in parentheses, or with a sign or CR behind.
+CREDIT = rf"^\s*(?:\(\s*\$?\s*{_DIGITS}\s*\)|\$?\s*{_DIGITS}\s*(?:-|[cC][rR]))\s*$"
+# What a money column (28 digits, 4 of them decimals) cannot hold is no amount.
+AMOUNT_LIMIT = 1e24
 DAY = r"^\s*[0-9]{4}-[0-9]{2}-[0-9]{2}\s*$"
 # From here on an amount is flagged as unlikely; it is kept all the same.
 UNLIKELY_AMOUNT = 1e12
@@ -21,8 +24,14 @@ def literal_map(pairs: dict[str, str]) -> Column:
 
 
 def to_number(text: Column) -> Column:
-    """A double, or null for text that is not an amount as a whole; never an error."""
-    return F.when(text.rlike(AMOUNT), F.translate(text, "$, ", "").try_cast("double"))
+    """A double, or null for text that is not an amount as a whole, or is one too large for
+    money; never an error. Credits are negative however they are printed."""
+    plain = F.translate(text, "$, ", "").try_cast("double")
+    credit = F.translate(F.regexp_replace(text, r"[()]|(?i)(?:-|cr)\s*$", ""), "$, ", "")
+    number = F.when(text.rlike(AMOUNT), plain).when(
+        text.rlike(CREDIT), -credit.try_cast("double")
+    )
+    return F.when(F.abs(number) < AMOUNT_LIMIT, number)
 
 
 def to_date(text: Column) -> Column:

@@ -23,7 +23,7 @@ from wattledger.functions.values import (
     to_date,
     to_number,
 )
-from wattledger.operators.joins import join_groups, join_lookup
+from wattledger.operators.joins import ambiguous_keys, join_groups, join_lookup, one_per_key
 from wattledger.schemas import CLEAN_BILL, EXTRACTED_BILL
 
 INGESTION_TIMES = ("ingestion_ts", "silver_ingestion_ts")
@@ -66,14 +66,24 @@ def drop_exact_copies(bills: DataFrame) -> DataFrame:
 
 
 def add_buildings(bills: DataFrame, buildings: DataFrame, key: str = "store_id") -> DataFrame:
-    """`building_id` from the reference by store (or by customer name or address: any key
-    that the reference holds once); null where there is no match."""
-    return join_lookup(bills, buildings.select(key, "building_id"), key)
+    """`building_id` from the reference by store, or any other key; null where there is no
+    match. A key that the reference gives several buildings has the smallest and is listed by
+    ambiguous_buildings. (By what is printed on the bill: operators.linkage.)"""
+    return join_lookup(bills, one_per_key(buildings, key, "building_id"), key)
+
+
+def ambiguous_buildings(buildings: DataFrame, key: str = "store_id") -> DataFrame:
+    """Keys of the reference with several buildings: `values`, the one `taken`, the `last`."""
+    return ambiguous_keys(buildings, key, "building_id")
 
 
 def add_vendors(bills: DataFrame, vendors: DataFrame) -> DataFrame:
-    """The vendor's name; null for an unknown vendor ID."""
-    return join_lookup(bills, vendors.select("vendor_id", "vendor"), "vendor_id")
+    """The vendor's name; null for an unknown vendor ID, the smallest of several names."""
+    return join_lookup(bills, one_per_key(vendors, "vendor_id", "vendor"), "vendor_id")
+
+
+def ambiguous_vendors(vendors: DataFrame) -> DataFrame:
+    return ambiguous_keys(vendors, "vendor_id", "vendor")
 
 
 def unmapped_stores(bills: DataFrame, buildings: DataFrame) -> DataFrame:

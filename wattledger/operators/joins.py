@@ -21,6 +21,30 @@ def join_lookup(facts: DataFrame, lookup: DataFrame, key: str, how: str = "left"
     return facts.join(lookup, key, how)
 
 
+def one_per_key(lookup: DataFrame, key: str, value: str) -> DataFrame:
+    """A lookup with one row per key, so that joining it never doubles facts: a key with several
+    values has the smallest (ambiguous_keys names it), rows without a key are left out."""
+    return (
+        lookup.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(value).alias(value))
+    )
+
+
+def ambiguous_keys(lookup: DataFrame, key: str, value: str) -> DataFrame:
+    """Keys that a lookup gives several values: how many, the one that is taken, the last."""
+    return (
+        lookup.where(F.col(key).isNotNull())
+        .select(key, value)
+        .distinct()
+        .groupBy(key)
+        .agg(
+            F.count(value).alias("values"),
+            F.min(value).alias("taken"),
+            F.max(value).alias("last"),
+        )
+        .where("values > 1")
+    )
+
+
 def join_groups(
     rows: DataFrame,
     groups: DataFrame,

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattledger.operators.bills import add_buildings, add_vendors, drop_exact_copies, type_bills
+from wattledger.operators.elements import parse_lines
 from wattledger.session import new_folder
 
 VENDOR_CODES = ("CPC001", "REC002", "MGU001", "NGS002", "AMW001")
@@ -148,7 +149,10 @@ def stored(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
 
 def meter_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event is a reading; one in 20 comes again, late and with another value."""
-    events = table(spark, sf_dir, "events")
+    return _readings(table(spark, sf_dir, "events"))
+
+
+def _readings(events: DataFrame) -> DataFrame:
     late = F.col("_copy") == 1
     value = F.when(~_every("event_id", 37), F.col("value"))
     return _with_copies(events, _every("event_id", 20), "_copy").select(
@@ -305,6 +309,130 @@ def bill_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# What bill_texts prints before a value.
+_PRINTED_LABEL = (
+    r"^(Invoice No:|Statement #|Account bill:|Service period:|Usage:|Subtotal:|Tax:|Total due:"
+    r"|Account No:|Customer:)\s*(\S.*)$"
+)
+
+
+def placed_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of printed bills, four a page, with labels and values as elements of their own:
+    the value right of its label in even lines, below it in odd ones."""
+    lines = parse_lines(bill_texts(spark, sf_dir))
+    line, label = F.col("element_index"), F.regexp_extract("content", _PRINTED_LABEL, 1)
+    top = F.lit(100) * (line % 4)
+    whole = F.array(F.lit(20), top, F.lit(400), top + 20)
+    aside = F.array(F.lit(140), top + 2, F.lit(260), top + 22)
+    under = F.array(F.lit(20), top + 30, F.lit(140), top + 50)
+
+    def element(index: Column, content: Column, box: Column) -> Column:
+        return F.struct(
+            index.cast("int").alias("element_index"), content.alias("content"),
+            box.cast("array<int>").alias("bbox_coord"),
+        )
+
+    value = F.regexp_extract("content", _PRINTED_LABEL, 2)
+    parts = F.when(
+        label != "",
+        F.array(
+            element(line * 2, label, F.array(F.lit(20), top, F.lit(120), top + 20)),
+            element(line * 2 + 1, value, F.when(line % 2 == 0, aside).otherwise(under)),
+        ),
+    ).otherwise(F.array(element(line * 2, F.col("content"), whole)))
+    split = lines.withColumn("page_id", F.floor(line / 4).cast("int")).select(
+        *[c for c in lines.columns if c not in ("element_index", "content", "bbox_coord", "page_id")],
+        "page_id", F.inline(parts),
+    )
+    return split.select(*lines.columns)
+
+
+def page_snapshot(spark: SparkSession, sf_dir: str, number: int) -> DataFrame:
+    """Metadata of the pages as files at one of three times. In the second, one in five is
+    longer and newer, one in five is gone, and one in five is new; in the third the gone ones
+    are back."""
+    key = F.col("page_id")
+    fifth, changed = key % 5, F.lit(number >= 2)
+    rows = table(spark, sf_dir, "pages")
+    rows = rows.where(fifth != 4) if number == 1 else rows
+    rows = rows.where(fifth != 1) if number == 2 else rows
+    longer = F.when((fifth == 0) & changed, 1).otherwise(0)
+    return rows.select(
+        F.concat(F.lit("page/"), key).alias("file_path"),
+        utility_of("page_id").alias("utility_type"),
+        vendor_of("page_id").alias("vendor_id"),
+        (F.octet_length("html") + longer).cast("long").alias("file_size_bytes"),
+        F.timestamp_seconds(F.lit(1_700_000_000) + key + 86_400 * longer).alias("modification_time"),
+    )
+
+
+def parties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Buildings with the customer and the address they are billed under; one in 20 customers
+    has a second building that nothing printed tells apart."""
+    key = F.col("c_custkey")
+    number = F.concat(F.lit("BLD-"), key)
+    ids = F.when(key % 20 == 7, F.array(number, F.concat(number, F.lit("-B")))).otherwise(F.array(number))
+    return table(spark, sf_dir, "customer").where(key % 10 != 9).select(
+        F.explode(ids).alias("building_id"), *_party()
+    )
+
+
+def _party() -> list[Column]:
+    key = F.col("c_custkey")
+    name = F.concat_ws(
+        " ", F.initcap("c_mktsegment"), F.concat(F.lit("Nation"), "c_nationkey"), F.lit("Trading Co"), key
+    )
+    address = F.concat_ws(
+        " ", key % 97 + 1, F.concat(F.lit("Elm"), key % 53), F.lit("Street"),
+        F.concat(F.lit("City"), key % 31),
+    )
+    return [name.alias("customer_name"), address.alias("service_address")]
+
+
+def party_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every bill line item as a text file that names its customer and address, by rule in other
+    letters and signs, with the two exchanged, a word left out, one word or several misspelt,
+    without the name, or without either."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", *_party())
+    lines = _with_orders(spark, sf_dir, table(spark, sf_dir, "lineitem"))
+    rows = lines.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    case = (F.col("l_orderkey") + F.col("l_linenumber")) % 8
+    name, address = F.col("customer_name"), F.col("service_address")
+    printed_name = (
+        F.when(case == 1, F.concat(F.upper(F.replace(name, F.lit(" "), F.lit(", "))), F.lit(".")))
+        .when(case == 2, address)
+        .when(case == 3, F.replace(name, F.lit(" Trading"), F.lit("")))
+        .when(case.isin(4, 5), F.replace(name, F.lit(" Nation"), F.lit("x Nation")))
+        .when(case < 4, name)
+    )
+    printed_address = (
+        F.when(case == 2, name)
+        .when(case == 5, F.replace(F.replace(address, F.lit("Elm"), F.lit("Alm")), F.lit("City"), F.lit("Zity")))
+        .when(case != 7, address)
+    )
+    return rows.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("file_path"),
+        utility_of("l_partkey").alias("utility_type"),
+        vendor_of("l_suppkey").alias("vendor_id"),
+        F.concat_ws(
+            "\n",
+            F.lit("Utility bill"),
+            F.concat(F.lit("Customer name: "), printed_name),
+            F.concat(F.lit("Service address: "), printed_address),
+            F.concat(F.lit("Account No: ACC-"), F.col("o_custkey")),
+        ).cast("binary").alias("content"),
+    )
+
+
+def meter_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readings dealt over the years that bills are from, a building for each meter."""
+    days = "8037 + (event_id * 7) % 2556"
+    events = table(spark, sf_dir, "events").withColumn(
+        "ts", F.expr(f"cast(ts AS timestamp) - make_dt_interval(cast({days} AS int))")
+    )
+    return _readings(events).withColumn("building_id", F.concat(F.lit("BLD-"), "meter_id"))
+
+
 def conversation_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations as the parser's JSON, one text file each: turns are the elements. One in
     10 has none, one in 7 is broken."""

@@ -297,6 +297,133 @@ WITH reads AS (
 )"""
 
 
+def _trend(source: str) -> str:
+    return f"""
+    , monthly AS (
+      SELECT store_id, commodity, {_MONTH} AS bill_month, sum({_money('consumption')}) AS used
+      FROM {source} GROUP BY ALL)
+    SELECT m.store_id, m.commodity, CAST(m.bill_month AS VARCHAR) AS bill_month,
+      CAST(m.used AS DOUBLE) AS consumption,
+      CAST(any_value(p.used) FILTER (WHERE p.bill_month = m.bill_month - INTERVAL 1 MONTH)
+           AS DOUBLE) AS previous,
+      CAST(m.used - any_value(p.used) FILTER (
+           WHERE p.bill_month = m.bill_month - INTERVAL 1 MONTH) AS DOUBLE) AS change,
+      CAST(sum(p.used) AS DOUBLE) AS last_three
+    FROM monthly m LEFT JOIN monthly p ON m.store_id = p.store_id
+      AND m.commodity = p.commodity AND p.bill_month <= m.bill_month
+      AND p.bill_month >= m.bill_month - INTERVAL 2 MONTH
+    GROUP BY m.store_id, m.commodity, m.bill_month, m.used"""
+
+
+_PARTY = """
+parties AS (
+  SELECT c_custkey, upper(c_mktsegment[1]) || lower(c_mktsegment[2:]) || ' Nation' || c_nationkey
+      || ' Trading Co ' || c_custkey AS name,
+    (c_custkey % 97 + 1) || ' Elm' || (c_custkey % 53) || ' Street City' || (c_custkey % 31) AS address
+  FROM customer
+),
+cases AS (
+  SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS file_path,
+    (l_orderkey + l_linenumber) % 8 AS c, name, address
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN parties ON c_custkey = o_custkey
+),
+printed AS (
+  SELECT file_path, CASE
+      WHEN c = 2 THEN address || ' ' || name
+      WHEN c = 3 THEN replace(name, ' Trading', '') || ' ' || address
+      WHEN c = 4 THEN replace(name, ' Nation', 'x Nation') || ' ' || address
+      WHEN c = 5 THEN replace(replace(replace(name || ' ' || address, ' Nation', 'x Nation'),
+        'Elm', 'Alm'), 'City', 'Zity')
+      WHEN c = 6 THEN address
+      WHEN c < 2 THEN name || ' ' || address END AS whole
+  FROM cases
+),
+bill_parties AS (
+  SELECT file_path, list_sort(list_distinct(string_split(lower(whole), ' '))) AS words FROM printed
+),
+known AS (
+  SELECT unnest(CASE WHEN c_custkey % 20 = 7 THEN ['BLD-' || c_custkey, 'BLD-' || c_custkey || '-B']
+      ELSE ['BLD-' || c_custkey] END) AS building_id,
+    list_sort(list_distinct(string_split(lower(name || ' ' || address), ' '))) AS words
+  FROM parties WHERE c_custkey % 10 <> 9
+),
+names AS (SELECT DISTINCT words FROM bill_parties WHERE words IS NOT NULL),
+shared AS (
+  SELECT n.words, k.building_id, any_value(len(k.words)) AS size, count(*) AS common
+  FROM (SELECT words, unnest(words) AS word FROM names) n
+  JOIN (SELECT building_id, words, unnest(words) AS word FROM known) k USING (word)
+  GROUP BY n.words, k.building_id
+),
+scored AS (
+  SELECT words, building_id, common / (len(words) + size - common) AS similarity FROM shared
+  WHERE common / (len(words) + size - common) >= 0.7
+),
+best AS (
+  SELECT words, max(similarity) AS similarity, count(*) AS candidates, min(building_id) AS building_id
+  FROM (SELECT *, max(similarity) OVER (PARTITION BY words) AS top FROM scored)
+  WHERE similarity = top GROUP BY words
+),
+linked AS (
+  SELECT words, array_to_string(words, ' ') AS party,
+    CASE WHEN candidates = 1 THEN building_id END AS building_id, similarity,
+    coalesce(candidates, 0) AS candidates,
+    CASE WHEN candidates = 1 THEN 'LINKED' WHEN candidates > 1 THEN 'AMBIGUOUS' ELSE 'UNMATCHED' END
+      AS link
+  FROM names LEFT JOIN best USING (words)
+)"""
+
+_PERIODS = """
+, periods AS (
+  SELECT building_id, commodity, bill_start_date, bill_end_date, count(*) AS bills,
+    min(bill_id) AS first_bill_id
+  FROM enriched WHERE building_id IS NOT NULL AND bill_end_date >= bill_start_date GROUP BY ALL),
+swept AS (
+  SELECT *, max(bill_end_date) OVER (PARTITION BY building_id, commodity
+    ORDER BY bill_start_date, bill_end_date
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached FROM periods)"""
+
+
+def _dealt(name: str) -> str:
+    """The share of an amount that a part of a bill gets, in columns to be selected in turn."""
+    return f"""
+    dealt_{name} AS (
+      SELECT *, abs(u_{name}) * n // total AS b_{name}, abs(u_{name}) * n % total AS r_{name}
+      FROM before_{name}),
+    ranked_{name} AS (
+      SELECT *, CAST(CASE WHEN u_{name} < 0 THEN -1 ELSE 1 END * (b_{name} + CASE WHEN
+          row_number() OVER (PARTITION BY row ORDER BY r_{name} DESC, part_start)
+          <= abs(u_{name}) - sum(b_{name}) OVER (PARTITION BY row) THEN 1 ELSE 0 END) AS DECIMAL(24,0))
+          * CAST(0.0001 AS DECIMAL(4,4)) AS p_{name}
+      FROM dealt_{name})"""
+
+
+_AMOUNTS = ("consumption", "subtotal", "tax", "cost_usd")
+_UNITS = ", ".join(f"CAST({_money(a)} * 10000 AS HUGEINT) AS u_{a}" for a in _AMOUNTS)
+_MONTH_PARTS = f"""
+, numbered AS (SELECT *, row_number() OVER () AS row, {_UNITS} FROM enriched),
+months AS (
+  SELECT *, unnest(generate_series(date_trunc('month', bill_start_date),
+      date_trunc('month', bill_end_date), INTERVAL 1 MONTH)) AS month
+  FROM numbered WHERE bill_end_date >= bill_start_date),
+cut AS (
+  SELECT *, greatest(month::DATE, bill_start_date) AS part_start,
+    least(last_day(month::DATE), bill_end_date) AS part_end,
+    bill_end_date - bill_start_date + 1 AS total FROM months),
+before_consumption AS (SELECT *, part_end - part_start + 1 AS n FROM cut),
+{_dealt("consumption")},
+before_subtotal AS (FROM ranked_consumption), {_dealt("subtotal")},
+before_tax AS (FROM ranked_subtotal), {_dealt("tax")},
+before_cost_usd AS (FROM ranked_tax), {_dealt("cost_usd")},
+parts AS (
+  SELECT source_file, bill_id, store_id, building_id, commodity, part_start AS bill_start_date,
+    part_end AS bill_end_date, n AS days, {", ".join(f"p_{a} AS {a}" for a in _AMOUNTS)}
+  FROM ranked_cost_usd
+  UNION ALL
+  SELECT source_file, bill_id, store_id, building_id, commodity, bill_start_date, bill_end_date,
+    NULL, {", ".join(f"{_money(a)} AS {a}" for a in _AMOUNTS)}
+  FROM numbered WHERE NOT coalesce(bill_end_date >= bill_start_date, false))"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "variant_elements": _VARIANT_ELEMENTS,
     "variant_casts": """
@@ -485,21 +612,7 @@ ORACLE_SQL: dict[str, str] = {
         , totals AS (SELECT vendor_id, vendor, commodity, {_TOTALS} FROM enriched GROUP BY ALL)
         SELECT *, round(CASE WHEN consumption <> 0 THEN cost_usd / consumption END, 4)
           AS cost_per_unit FROM totals"""),
-    "usage_trend": _on_bills(f"""
-        , monthly AS (
-          SELECT store_id, commodity, {_MONTH} AS bill_month, sum({_money('consumption')}) AS used
-          FROM bills GROUP BY ALL)
-        SELECT m.store_id, m.commodity, CAST(m.bill_month AS VARCHAR) AS bill_month,
-          CAST(m.used AS DOUBLE) AS consumption,
-          CAST(any_value(p.used) FILTER (WHERE p.bill_month = m.bill_month - INTERVAL 1 MONTH)
-               AS DOUBLE) AS previous,
-          CAST(m.used - any_value(p.used) FILTER (
-               WHERE p.bill_month = m.bill_month - INTERVAL 1 MONTH) AS DOUBLE) AS change,
-          CAST(sum(p.used) AS DOUBLE) AS last_three
-        FROM monthly m LEFT JOIN monthly p ON m.store_id = p.store_id
-          AND m.commodity = p.commodity AND p.bill_month <= m.bill_month
-          AND p.bill_month >= m.bill_month - INTERVAL 2 MONTH
-        GROUP BY m.store_id, m.commodity, m.bill_month, m.used"""),
+    "usage_trend": _on_bills(_trend("bills")),
     "consumption_anomaly": _on_bills("""
         , figures AS (
           SELECT vendor_id, commodity, avg(consumption) AS mean,
@@ -516,4 +629,98 @@ ORACLE_SQL: dict[str, str] = {
           CAST(bill_end_date AS VARCHAR) AS bill_end_date, consumption, unit AS usage_unit,
           subtotal AS charges, tax AS taxes, cost_usd AS total_amount, bill_id, source_file
         FROM enriched"""),
+    "replay_emptied": "SELECT *, 1 AS batch_id FROM (SELECT event_id, epoch_us(ts) AS ts, user_id,"
+        " event_type, value, props FROM events) WHERE event_id % 2 = 1",
+    "building_ambiguous": """
+        SELECT 'STR-' || c_custkey AS store_id, 2 AS "values", 'BLD-' || c_custkey AS taken, 'Z' AS last
+        FROM customer WHERE c_custkey % 10 = 7""",
+    "lookup_guarded": _on_enriched("SELECT source_file, building_id, vendor FROM enriched"),
+    "building_link": f"""WITH {_PARTY}
+        SELECT party, building_id, similarity, candidates, link FROM linked""",
+    "building_link_bills": f"""WITH {_PARTY}
+        SELECT file_path, building_id, similarity, coalesce(candidates, 0) AS candidates,
+          coalesce(link, 'UNMATCHED') AS link FROM bill_parties LEFT JOIN linked USING (words)""",
+    "credit_amounts": """
+        SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_linenumber % 7 = 6 THEN NULL
+          WHEN l_linenumber % 7 = 4 THEN round(l_extendedprice, 2) ELSE -round(l_extendedprice, 2) END AS amount
+        FROM lineitem""",
+    "period_overlaps": _on_enriched(f"""{_PERIODS}
+        SELECT building_id, commodity, CAST(bill_start_date AS VARCHAR) AS bill_start_date,
+          CAST(bill_end_date AS VARCHAR) AS bill_end_date, bills, first_bill_id,
+          CAST(reached AS VARCHAR) AS reached, least(reached, bill_end_date) - bill_start_date + 1 AS days
+        FROM swept WHERE reached >= bill_start_date"""),
+    "period_gaps": _on_enriched(f"""{_PERIODS}
+        SELECT building_id, commodity, CAST(reached + 1 AS VARCHAR) AS gap_start_date,
+          CAST(bill_start_date - 1 AS VARCHAR) AS gap_end_date, bill_start_date - reached - 1 AS days,
+          first_bill_id AS next_bill_id
+        FROM swept WHERE bill_start_date > reached + 1"""),
+    "bill_months": _on_enriched(f"""{_MONTH_PARTS}
+        SELECT source_file, bill_id, CAST(bill_start_date AS VARCHAR) AS bill_start_date,
+          CAST(bill_end_date AS VARCHAR) AS bill_end_date, days,
+          CAST(consumption AS DOUBLE) AS consumption, CAST(cost_usd AS DOUBLE) AS cost_usd FROM parts"""),
+    "cost_by_calendar_month": _on_enriched(f"""{_MONTH_PARTS}
+        SELECT commodity, CAST({_MONTH} AS VARCHAR) AS bill_month, count(*) AS bills,
+          CAST(sum(cost_usd) AS DOUBLE) AS cost_usd, CAST(sum(tax) AS DOUBLE) AS tax
+        FROM parts GROUP BY 1, 2"""),
+    "consumption_by_building_calendar_month": _on_enriched(f"""{_MONTH_PARTS}
+        SELECT building_id, commodity, CAST({_MONTH} AS VARCHAR) AS bill_month, {_TOTALS}
+        FROM parts GROUP BY 1, 2, 3"""),
+    "metered_vs_billed": _on_enriched("""
+        , reads AS (
+          SELECT event_id, user_id, ts - to_days(CAST(8037 + (event_id * 7) % 2556 AS INTEGER)) AS ts,
+            -- Of a reading and its late copy the one with a value counts, then the last source.
+            CASE WHEN event_id % 20 = 0 AND (event_id % 37 = 0 OR event_type < 'late') THEN value + 1
+                 WHEN event_id % 37 <> 0 THEN value END AS kwh
+          FROM events),
+        days AS (
+          SELECT 'BLD-' || user_id AS building_id, CAST(ts AS DATE) AS day, count(*) AS held,
+            count(kwh) AS readings, sum(CAST(kwh AS DECIMAL(28,4))) AS kwh
+          FROM reads GROUP BY ALL),
+        billed AS (
+          SELECT *, row_number() OVER () AS row FROM enriched
+          WHERE commodity = 'electricity' AND building_id IS NOT NULL AND bill_end_date >= bill_start_date)
+        SELECT b.building_id, CAST(bill_start_date AS VARCHAR) AS bill_start_date,
+          CAST(bill_end_date AS VARCHAR) AS bill_end_date, bill_id, source_file, consumption,
+          CAST(sum(kwh) AS DOUBLE) AS metered_kwh,
+          CAST(CAST(consumption AS DECIMAL(28,4)) - sum(kwh) AS DOUBLE) AS difference,
+          CAST(coalesce(sum(readings), 0) AS BIGINT) AS readings,
+          CAST(coalesce(sum(held - readings), 0) AS BIGINT) AS missing_readings,
+          count(day) AS metered_days
+        FROM billed b LEFT JOIN days d
+          ON d.building_id = b.building_id AND day BETWEEN bill_start_date AND bill_end_date
+        GROUP BY row, b.building_id, bill_start_date, bill_end_date, bill_id, source_file, consumption"""),
 }
+ORACLE_SQL["readings_merged"] = ORACLE_SQL["meter_dedup"]
+ORACLE_SQL["usage_trend_calendar"] = _on_enriched(_MONTH_PARTS + _trend("parts"))
+ORACLE_SQL["bill_extract_placed"] = _PRINTED
+ORACLE_SQL["batch_figures"] = ORACLE_SQL["dq_summary"]
+ORACLE_SQL["cost_by_month_refreshed"] = ORACLE_SQL["cost_by_commodity_month"]
+ORACLE_SQL["consumption_by_building_refreshed"] = ORACLE_SQL["consumption_by_building_month"]
+ORACLE_SQL["vendor_comparison_refreshed"] = ORACLE_SQL["vendor_comparison"]
+ORACLE_SQL["consumption_outliers"] = _on_bills("""
+    , medians AS (
+      SELECT vendor_id, commodity, quantile_disc(consumption, 0.5) AS median
+      FROM bills WHERE consumption IS NOT NULL GROUP BY ALL),
+    away AS (
+      SELECT vendor_id, commodity, source_file, bill_id, consumption, median,
+        abs(consumption - median) AS away
+      FROM bills JOIN medians USING (vendor_id, commodity) WHERE consumption IS NOT NULL),
+    deviations AS (
+      SELECT vendor_id, commodity, quantile_disc(away, 0.5) AS deviation FROM away GROUP BY ALL)
+    SELECT vendor_id, commodity, source_file, bill_id, consumption, median, deviation,
+      round(away / (deviation * 1.4826), 4) AS score
+    FROM away JOIN deviations USING (vendor_id, commodity)
+    WHERE deviation > 0 AND away / (deviation * 1.4826) > 1""")
+ORACLE_SQL["file_versions"] = f"""
+    WITH files AS (
+      SELECT page_id, page_id % 5 AS fifth, 'page/' || page_id AS file_path,
+        {_utility('page_id')} AS utility_type, {_vendor('page_id')} AS vendor_id,
+        octet_length(encode(html)) AS size, (1700000000 + page_id) * 1000000 AS micros FROM pages),
+    versions(fifth, version, change, more, valid_from, valid_to, ended_by) AS (VALUES
+      (0, 1, 'ADDED', 0, 1, 2, 'CHANGED'), (0, 2, 'CHANGED', 1, 2, NULL, NULL),
+      (1, 1, 'ADDED', 0, 1, 2, 'DELETED'), (1, 2, 'RETURNED', 0, 3, NULL, NULL),
+      (2, 1, 'ADDED', 0, 1, NULL, NULL), (3, 1, 'ADDED', 0, 1, NULL, NULL),
+      (4, 1, 'ADDED', 0, 2, NULL, NULL))
+    SELECT file_path, version, change, utility_type, vendor_id, size + more AS file_size_bytes,
+      micros + more * 86400000000 AS modification_time, valid_from, valid_to, ended_by
+    FROM files JOIN versions USING (fifth)"""

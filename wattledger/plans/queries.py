@@ -9,12 +9,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattledger.functions import quality
+from wattledger.functions.values import to_number
 from wattledger.operators import bills as B
 from wattledger.operators import elements as E
 from wattledger.operators import extract as X
+from wattledger.operators import linkage as L
+from wattledger.operators import layout as PL
+from wattledger.operators import meters as M
+from wattledger.operators import partials as PS
+from wattledger.operators import periods as P
 from wattledger.operators import reports as R
+from wattledger.operators.allocation import allocate_months
 from wattledger.operators.meters import dedup_intervals
-from wattledger.operators.meters import late_readings as missed_readings
 from wattledger.plans import inputs as I
 from wattledger.session import new_folder
 from wattledger.sources.landing import (
@@ -22,10 +28,17 @@ from wattledger.sources.landing import (
     file_metadata,
     unregistered_files,
 )
-from wattledger.sources.reference import meter_feed_stream, read_buildings, read_meter_feed
+from wattledger.sources.reference import (
+    building_rows,
+    meter_feed_stream,
+    read_buildings,
+    read_meter_feed,
+)
+from wattledger.sources import versions as V
+from wattledger.streaming import figures as G
 from wattledger.streaming import jobs as J
 from wattledger.streaming import sinks as S
-from wattledger.streaming.meters import first_arrivals
+from wattledger.streaming.meters import first_arrivals, merge_readings, merge_stream, read_readings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -193,6 +206,15 @@ def content_fetch(spark, sf_dir):
     )
 
 
+@query
+def file_versions(spark, sf_dir):
+    """Pages as files over three snapshots, the second taken twice: changed, gone, new, back."""
+    log = f"{new_folder(spark, 'file_versions')}/log"
+    for number in (1, 2, 2, 3):
+        V.record_snapshot(I.page_snapshot(spark, sf_dir, number), number, log)
+    return V.file_versions(V.read_log(spark, log))
+
+
 def _element_columns(rows: DataFrame) -> DataFrame:
     return rows.select("utility_type", "vendor_id", "element_index", "element_type", "content")
 
@@ -332,6 +354,17 @@ def empty_batch(spark, sf_dir):
     ).withColumns({"full": F.lit(full).cast("long"), "empty": F.lit(empty).cast("long")})
 
 
+@query
+def replay_emptied(spark, sf_dir):
+    """Two batches, of which the first runs again and has no rows any more."""
+    folder = new_folder(spark, "replay_emptied")
+    events = I.table(spark, sf_dir, "events")
+    for batch in (0, 1):
+        S.write_batch(events.where(F.col("event_id") % 2 == batch), batch, folder)
+    S.write_batch(events.where("false"), 0, folder)
+    return S.read_batches(spark, folder)
+
+
 # --- extraction
 
 
@@ -377,6 +410,15 @@ def bill_extract_elements(spark, sf_dir):
     )
 
 
+@query
+def bill_extract_placed(spark, sf_dir):
+    """The same from pages on which labels and values are elements beside each other."""
+    elements = I.stored(spark, I.placed_elements(spark, sf_dir), "placed")
+    return X.extracted_bills(PL.join_labels(elements)).drop(
+        "consumption_raw", "cost_raw", "ingestion_ts", "bill_type_partition"
+    )
+
+
 @query
 def extracted_layout(spark, sf_dir):
     """Extracted bills with their building and vendor, in the contract's layout."""
@@ -402,9 +444,67 @@ def buildings_csv(spark, sf_dir):
     return read_buildings(spark, folder)
 
 
+def _doubled_buildings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = I.buildings(spark, sf_dir)
+    return rows.unionAll(
+        rows.where(F.col("store_id").endswith("7")).withColumn("building_id", F.lit("Z"))
+    )
+
+
+@query
+def building_ambiguous(spark, sf_dir):
+    """Stores that the building CSV lists with several buildings."""
+    folder = new_folder(spark, "building_ambiguous")
+    _doubled_buildings(spark, sf_dir).write.option("header", True).csv(folder)
+    return B.ambiguous_buildings(building_rows(spark, folder))
+
+
+@query
+def lookup_guarded(spark, sf_dir):
+    """Bills with their building and vendor, from lookups that list some keys twice: every bill
+    is there once."""
+    vendors = I.vendors(spark, sf_dir)
+    twice = vendors.unionAll(vendors.withColumn("vendor", F.concat("vendor", F.lit(" Inc"))))
+    mapped = B.add_buildings(I.bills(spark, sf_dir), _doubled_buildings(spark, sf_dir))
+    return B.add_vendors(mapped, twice).select("source_file", "building_id", "vendor")
+
+
+def _named_bills(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = I.party_files(spark, sf_dir)
+    return I.stored(spark, X.extract_texts(E.decode_text(files), X.PARTY_RULES), "named_bills")
+
+
+@query
+def building_link(spark, sf_dir):
+    """Buildings by the customer and address that bills print, faults included."""
+    return L.link_buildings(_named_bills(spark, sf_dir), I.parties(spark, sf_dir))
+
+
+@query
+def building_link_bills(spark, sf_dir):
+    """Every bill with the building it was linked to."""
+    linked = L.add_linked_buildings(_named_bills(spark, sf_dir), I.parties(spark, sf_dir))
+    return linked.select("file_path", "building_id", "similarity", "candidates", "link")
+
+
 # --- bills
 
 
+@query
+def credit_amounts(spark, sf_dir):
+    """Prices as charges and in the notations of credits, some too large for money."""
+    price = F.format_number("l_extendedprice", 2)
+    notations = [
+        F.concat(F.lit(before), price, F.lit(after))
+        for before, after in (("(", ")"), ("", "-"), ("", " CR"), ("-$", ""), ("$", ""), ("($", ")"), ("", "e24"))
+    ]
+    case = (F.col("l_linenumber") % 7).cast("int")
+    printed = F.get(F.array(*notations), case)
+    return I.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", to_number(printed).alias("amount")
+    )
+
+
 @query
 def bill_typed(spark, sf_dir):
     return I.typed_bills(spark, sf_dir).drop("ingestion_ts")
@@ -535,6 +635,24 @@ def dq_summary(spark, sf_dir):
     return B.quality_summary(I.enriched_bills(spark, sf_dir))
 
 
+@query
+def batch_figures(spark, sf_dir):
+    """Bills per broken rule, from the figures that a stream's batches left; the last batch
+    runs twice."""
+    work = new_folder(spark, "batch_figures")
+    I.enriched_bills(spark, sf_dir).repartition(3).write.parquet(f"{work}/feed")
+    schema = spark.read.parquet(f"{work}/feed").schema
+    feed = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/feed")
+    kept, figures = f"{work}/figures", G.bill_figures()
+    G.measure_each_batch(feed, f"{work}/bills", f"{work}/progress", kept, "bills", figures)
+    last = S.read_batches(spark, f"{work}/bills")
+    number = last.agg(F.max("batch_id")).first()[0]
+    again = I.stored(spark, last.where(F.col("batch_id") == number).drop("batch_id"), "again")
+    G.write_measured(again, number, f"{work}/bills", figures, kept, "bills")
+    broken = G.read_figures(spark, kept).where(F.col("figure").startswith("broken: "))
+    return broken.groupBy(F.substring("figure", 9, 100).alias("reason")).agg(F.sum("value").alias("bills"))
+
+
 @query
 def duplicate_bills(spark, sf_dir):
     mapped = B.add_buildings(I.bills(spark, sf_dir), I.buildings(spark, sf_dir))
@@ -544,9 +662,39 @@ def duplicate_bills(spark, sf_dir):
     )
 
 
+def _mapped_bills(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    mapped = B.add_buildings(I.bills(spark, sf_dir), I.buildings(spark, sf_dir))
+    return mapped.select("building_id", "commodity", "bill_start_date", "bill_end_date", "bill_id", *columns)
+
+
+@query
+def period_overlaps(spark, sf_dir):
+    return P.period_overlaps(_mapped_bills(spark, sf_dir))
+
+
+@query
+def period_gaps(spark, sf_dir):
+    return P.period_gaps(_mapped_bills(spark, sf_dir))
+
+
+@query
+def bill_months(spark, sf_dir):
+    """Bills split over the calendar months of their periods."""
+    return allocate_months(I.bills(spark, sf_dir)).select(
+        "source_file", "bill_id", "bill_start_date", "bill_end_date", "days", "consumption", "cost_usd"
+    )
+
+
 # --- meters
 
 
+@query
+def metered_vs_billed(spark, sf_dir):
+    needed = I.stored(spark, _mapped_bills(spark, sf_dir, "source_file", "consumption"), "billed")
+    reads = dedup_intervals(I.meter_history(spark, sf_dir))
+    return M.metered_vs_billed(needed, reads).drop("commodity")
+
+
 @query
 def meter_dedup(spark, sf_dir):
     return dedup_intervals(I.meter_reads(spark, sf_dir)).drop("silver_ingestion_ts")
@@ -562,32 +710,44 @@ def meter_feed(spark, sf_dir):
 
 @query
 def late_readings(spark, sf_dir):
-    """Half the meters report again about readings of years ago, after the newer ones: behind
-    the stream's watermark, so they are found beside its table."""
+    """Half the meters report again about readings of years ago, after the newer ones: far later
+    than any watermark. They are merged into the stored days they belong to."""
     work = new_folder(spark, "late_readings")
     reads = I.meter_reads(spark, sf_dir)
     odd = F.col("meter_id").cast("long") % 2 == 1
     older = reads.where(odd).withColumn("timestamp", F.expr("timestamp - interval 4000 days"))
+    days = []
     for go in (reads.where(~odd), older):
         go.write.mode("append").parquet(f"{work}/feed")
-        first = first_arrivals(meter_feed_stream(spark, f"{work}/feed"), "1 day")
-        S.write_each_batch(first, f"{work}/kept", f"{work}/progress")
-    feed = read_meter_feed(spark, f"{work}/feed")
-    late = missed_readings(feed, spark.read.parquet(f"{work}/kept"))
+        feed = meter_feed_stream(spark, f"{work}/feed")
+        merged = merge_stream(feed, f"{work}/kept", f"{work}/merged", f"{work}/progress")
+        days.append(max(day for touched in merged.values() for day in touched))
+    late = read_readings(spark, f"{work}/kept").where(F.to_date("timestamp") <= F.lit(days[-1]))
     return late.select("timestamp", "meter_id")
 
 
+@query
+def readings_merged(spark, sf_dir):
+    """Readings of a feed in several batches, each of which touches most days: what is stored in
+    the end is what a batch over all of them keeps."""
+    work = new_folder(spark, "readings_merged")
+    I.meter_reads(spark, sf_dir).repartition(3).write.parquet(f"{work}/feed")
+    stream = meter_feed_stream(spark, f"{work}/feed", max_files=1)
+    merge_stream(stream, f"{work}/kept", f"{work}/merged", f"{work}/progress")
+    return read_readings(spark, f"{work}/kept").drop("silver_ingestion_ts")
+
+
 @query
 def meter_dedup_stream(spark, sf_dir):
-    """Readings of a feed of files in several batches, first arrival kept for an hour; those
-    that came later than that are added from the feed."""
+    """Readings of a feed of files in several batches, first arrival kept for an hour; the feed
+    is then merged over them, so those that came later than that are there, too."""
     work = new_folder(spark, "meter_dedup_stream")
     I.meter_reads(spark, sf_dir).repartition(4).write.parquet(f"{work}/feed")
     stream = meter_feed_stream(spark, f"{work}/feed", max_files=1)
-    S.write_each_batch(first_arrivals(stream, "1 hour"), f"{work}/kept", f"{work}/progress")
-    kept = spark.read.parquet(f"{work}/kept").select("timestamp", "meter_id")
-    late = missed_readings(read_meter_feed(spark, f"{work}/feed"), kept)
-    return kept.unionByName(late.select("timestamp", "meter_id"))
+    S.write_each_batch(first_arrivals(stream, "1 hour"), f"{work}/early", f"{work}/progress")
+    merge_readings(spark.read.parquet(f"{work}/early"), 0, f"{work}/kept", f"{work}/seed")
+    merge_stream(stream, f"{work}/kept", f"{work}/merged", f"{work}/merging")
+    return read_readings(spark, f"{work}/kept").select("timestamp", "meter_id")
 
 
 # --- reports
@@ -629,3 +789,57 @@ def consumption_anomaly(spark, sf_dir):
 @query
 def gold_bills(spark, sf_dir):
     return R.gold_bills(I.enriched_bills(spark, sf_dir))
+
+
+@query
+def cost_by_calendar_month(spark, sf_dir):
+    return R.cost_by_month(allocate_months(I.bills(spark, sf_dir)))
+
+
+@query
+def consumption_by_building_calendar_month(spark, sf_dir):
+    parts = allocate_months(I.bills(spark, sf_dir))
+    return R.consumption_by_building(parts, I.buildings(spark, sf_dir))
+
+
+@query
+def usage_trend_calendar(spark, sf_dir):
+    return R.usage_trend(allocate_months(I.bills(spark, sf_dir)))
+
+
+def _refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partial sums of bills in four batches, one of which came with wrong amounts at first and
+    is replaced; only that one is read again."""
+    work = new_folder(spark, "refreshed")
+    batch = F.pmod(F.xxhash64("source_file"), F.lit(4))
+    bills = I.stored(spark, I.bills(spark, sf_dir).withColumn("batch_id", batch), "refreshed_bills")
+    wrong = F.when(F.col("batch_id") == 2, F.col("cost_usd") * 2).otherwise(F.col("cost_usd"))
+    S.rewrite_batches(bills.withColumn("cost_usd", wrong), f"{work}/bills")
+    PS.refresh(spark, f"{work}/bills", range(4), f"{work}/partials")
+    S.rewrite_batches(bills.where("batch_id = 2"), f"{work}/bills")
+    PS.refresh(spark, f"{work}/bills", [2], f"{work}/partials")
+    return S.read_batches(spark, f"{work}/partials")
+
+
+@query
+def cost_by_month_refreshed(spark, sf_dir):
+    return PS.merged_cost_by_month(_refreshed(spark, sf_dir))
+
+
+@query
+def consumption_by_building_refreshed(spark, sf_dir):
+    partials = _refreshed(spark, sf_dir)
+    return PS.merged_consumption_by_building(partials, I.buildings(spark, sf_dir))
+
+
+@query
+def vendor_comparison_refreshed(spark, sf_dir):
+    return PS.merged_vendors(_refreshed(spark, sf_dir), I.vendors(spark, sf_dir))
+
+
+@query
+def consumption_outliers(spark, sf_dir):
+    needed = I.bills(spark, sf_dir).select(
+        "vendor_id", "commodity", "source_file", "bill_id", "consumption"
+    )
+    return R.robust_outliers(I.stored(spark, needed, "consumption_outliers"), 1.0)

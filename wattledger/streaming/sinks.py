@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from wattledger.files import delete_path
+
 
 def ensure_schema(spark: SparkSession, table: str) -> None:
     """Creates the schema a table name starts with, if it names one."""
@@ -72,15 +74,26 @@ def write_batch(
     table, and returns its row count.
 
     A batch that runs again, because the stream stopped between the write and the commit,
-    replaces itself. Batch IDs belong to one checkpoint, so a target does too. The count
-    is taken while writing, not by running the batch a second time; an empty batch writes
-    nothing and counts 0.
+    replaces itself, also when it has no rows any more. Batch IDs belong to one checkpoint, so a
+    target does too. The count is taken while writing, not by running the batch a second time;
+    an empty batch writes nothing and counts 0.
     """
     counted = Observation()
     stamped = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     stamped = stamped.observe(counted, F.count(F.lit(1)).alias("rows"))
     _overwrite_batches(stamped, target, file_format)
-    return counted.get.get("rows", 0)
+    written = counted.get.get("rows", 0)
+    if not written:
+        # Overwriting by partition leaves alone what the new rows don't name.
+        _clear_batch(rows.sparkSession, batch_id, target)
+    return written
+
+
+def _clear_batch(spark: SparkSession, batch_id: int, target: str) -> None:
+    if _is_path(target):
+        delete_path(spark, f"{target}/batch_id={batch_id}")
+    else:
+        spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION (batch_id = {batch_id})")
 
 
 def read_batches(spark: SparkSession, target: str, file_format: str = "parquet") -> DataFrame:
