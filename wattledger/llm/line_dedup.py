@@ -58,7 +58,8 @@ def dropped_lines(
     docs: DataFrame, least_chars: int = LEAST_CHARS, least_docs: int = LEAST_DOCS
 ) -> DataFrame:
     """doc_id, text_hash, places (sorted): the lines that each text loses."""
-    lines = hashed_lines(docs, least_chars)
+    # Splitting and hashing whole texts is the work here; it is done once.
+    lines = stored(hashed_lines(docs, least_chars), "lines")
     repeated = stored(
         lines.select("line", "doc_id")
         .distinct()
