@@ -10,15 +10,21 @@ A table key that two documents share has both its bands shared, so only bands th
 documents at least are combined; most documents have none and make no table row.
 
 Documents with the same shingle set are one class, which its smallest document stands for.
-Buckets are compared in rounds. In each, one member is compared with those of other components
-than its own: in the first round the smallest, then one drawn by a hash of the bucket, so that
-a document in many buckets meets many others. That joins a large group of copies with a number
-of comparisons in proportion to its table rows. What the rounds leave apart is compared in full
-across components, in blocks of sketches and each pair once; so no link between two texts that
-met is lost. A pair is verified on its two whole sets, unless its sizes rule it out, or its
-sketches do beyond doubt: fewer than LEAST_EQUAL of 40 minhashes equal (one in 100,000 at 0.75)
-or, for pairs of the last step, a similarity of their BOTTOM smallest hashes below LEAST_BOTTOM
-(one in 10,000; smaller sets are compared exactly).
+Links are found in two steps, so that the pairs handed on grow with the documents, not with the
+square of a group:
+
+1. In each of ROUNDS rounds every bucket has a centre, in the first its smallest member, then
+   one drawn by a hash, and every member is compared with one centre of another component than
+   its own. That joins most of a large group of copies by a pair a document and round.
+2. What is still apart is compared in full, across components: documents that share a band
+   of the first collection stand in blocks with their whole sets, every block beside every
+   other one that holds more than the same single component. A tile of two blocks counts the
+   shingles that each of its pairs has in common as a product of matrices, and hands on such
+   links only that join components which its task hasn't seen joined before.
+
+No sketch decides about a link: what step 1 passes over (pairs with sizes too different or
+fewer than LEAST_EQUAL of 40 minhashes equal) step 2 compares whole, if it is still apart. So
+the only links missed are those of pairs that share no table key.
 
 A null text or one without words has no shingles and is linked with nothing. Rows without a
 doc_id are linked with nothing, their component is null, and they are kept. Repeated rows give
@@ -40,6 +46,7 @@ from wattledger.llm.components import connected
 from wattledger.llm.stored import stored
 from wattledger.llm.words import Words, chunks, mix, windows
 from wattledger.llm.workers import map_batches
+from wattledger.operators.joins import join_groups
 
 SHINGLE_WORDS = 5
 #: Links have 100 * intersection >= PERCENT * union.
@@ -47,13 +54,12 @@ PERCENT = 75
 BANDS, ROWS = 10, 2
 HASHES = 2 * BANDS * ROWS
 LEAST_EQUAL = 18
-#: Rounds in which a bucket is compared with one of its members.
+#: Rounds in which documents are compared with centres of their buckets.
 ROUNDS = 2
-#: The second sketch: a set's smallest hashes, and the similarity of two that rules a pair out.
-BOTTOM = 256
-LEAST_BOTTOM = 0.65
-#: Documents in a block of the last step, about.
-BLOCK_ROWS = 128
+#: Documents and shingles in a block of the last step, about.
+BLOCK_ROWS, BLOCK_SHINGLES = 128, 1 << 17
+#: Shingles that a tile counts at a time.
+TILE_COLUMNS = 8192
 #: Pairs whose sets are made together.
 COMPARED_ROWS = 256
 #: Blocks of the filter that keeps texts out of a join that no pair asks for (2 MiB).
@@ -169,7 +175,7 @@ def table_rows(classes: DataFrame) -> DataFrame:
 
 
 def _promising(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (u, v) that neither sizes nor minhashes rule out."""
+    """The pairs (u, v and other columns) that neither sizes nor minhashes rule out."""
     facts = classes.select("doc", "n_shingles", "minhashes")
     left = facts.select(
         F.col("doc").alias("u"), F.col("n_shingles").alias("n_u"), F.col("minhashes").alias("h_u")
@@ -177,7 +183,7 @@ def _promising(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     right = facts.select(
         F.col("doc").alias("v"), F.col("n_shingles").alias("n_v"), F.col("minhashes").alias("h_v")
     )
-    return pairs.join(left, "u").join(right, "v").where(_similar()).select("u", "v")
+    return pairs.join(left, "u").join(right, "v").where(_similar()).select(*pairs.columns)
 
 
 def _similar() -> Column:
@@ -186,10 +192,9 @@ def _similar() -> Column:
     return sizes & (equal >= LEAST_EQUAL)
 
 
-def _asked_for(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """docs without most of those that no pair names: a Bloom filter of fixed size, one row per
-    block, so that whole texts of other documents aren't shuffled."""
-    named = pairs.select(F.explode(F.array("u", "v")).alias("doc_id"))
+def _asked_for(docs: DataFrame, named: DataFrame) -> DataFrame:
+    """docs without most of those that `named` (doc_id) doesn't name: a Bloom filter of fixed
+    size, one row per block, so that whole texts of other documents aren't shuffled."""
     key = F.col("doc_id")
     blocks = named.groupBy(filter_block(key, FILTER_BLOCKS).alias("block")).agg(
         F.bit_or(filter_bits(key)).alias("bits")
@@ -215,8 +220,8 @@ def _linked(left: np.ndarray, right: np.ndarray) -> bool:
 
 
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (u, v) whose full sets are similar enough. docs: doc_id, text; rows of one
-    doc_id that differ are all compared."""
+    """Those of the pairs (u, v) whose full sets are similar enough. docs: doc_id, text; rows of
+    one doc_id that differ are all compared."""
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -228,7 +233,8 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                 ]
                 yield part.select(["u", "v"]).filter(pa.array(linked, pa.bool_()))
 
-    texts = _asked_for(docs, pairs)
+    ends = [pairs.select(F.col(end).alias("doc_id")) for end in ("u", "v")]
+    texts = _asked_for(docs, ends[0].unionAll(ends[1]))
     rows = (
         pairs.join(texts.select(F.col("doc_id").alias("v"), F.col("text").alias("text_v")), "v")
         .join(texts.select(F.col("doc_id").alias("u"), F.col("text").alias("text_u")), "u")
@@ -238,149 +244,210 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def _stars(members: DataFrame, turn: int) -> DataFrame:
-    """Pairs (u, v) of one member of each bucket with those of other components."""
-    drawn = F.col("doc") if turn == 0 else F.xxhash64("doc", "key", F.lit(turn))
-    centres = stored(
-        members.groupBy("key").agg(
-            F.min_by("doc", drawn).alias("centre"), F.min_by("label", drawn).alias("its_label")
-        ),
-        "centres",
+    """Pairs (u, v, and their labels): each member with one of its buckets' centres of other
+    components."""
+
+    def drawn(doc: str) -> Column:
+        return F.col(doc) if turn == 0 else F.xxhash64(doc, F.lit(turn))
+
+    centres = members.groupBy("key").agg(
+        F.min_by("doc", drawn("doc")).alias("centre"),
+        F.min_by("label", drawn("doc")).alias("its_label"),
     )
-    return (
-        members.join(centres, "key")
+    chosen = (
+        join_groups(members, centres, ["key"], ["doc"])
         .where(F.col("label") != F.col("its_label"))
-        .select(F.least("doc", "centre").alias("u"), F.greatest("doc", "centre").alias("v"))
-        .distinct()
+        .groupBy("doc", "label")
+        .agg(F.min_by(F.struct("centre", "its_label"), drawn("centre")).alias("other"))
     )
+    return chosen.select(
+        F.least("doc", "other.centre").alias("u"),
+        F.greatest("doc", "other.centre").alias("v"),
+        F.least("label", "other.its_label").alias("low"),
+        F.greatest("label", "other.its_label").alias("high"),
+    ).distinct()
+
+
+def _hooks(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """label, new: labels that links join to a smaller one, followed twice."""
+    once = (
+        pairs.join(found, ["u", "v"], "left_semi")
+        .groupBy(F.col("high").alias("label"))
+        .agg(F.min("low").alias("new"))
+    )
+    once = stored(once, "hooks")
+    further = once.select(F.col("label").alias("new"), F.col("new").alias("newer"))
+    return once.join(further, "new", "left").select("label", F.coalesce("newer", "new").alias("new"))
 
 
-def _still_apart(members: DataFrame, component: DataFrame) -> DataFrame:
+def _still_apart(members: DataFrame, hooks: DataFrame) -> DataFrame:
     """Members of the buckets that hold more than one component, with their components."""
     labelled = stored(
-        members.select("key", "doc")
-        .join(component.withColumnRenamed("node", "doc"), "doc", "left")
-        .select("key", "doc", F.coalesce("component", "doc").alias("label")),
+        members.join(hooks, "label", "left").select(
+            "key", "doc", F.coalesce("new", "label").alias("label")
+        ),
         "labelled",
     )
-    mixed = stored(
+    mixed = (
         labelled.groupBy("key")
         .agg(F.min("label").alias("low"), F.max("label").alias("high"))
         .where("low < high")
-        .select("key"),
-        "mixed",
+        .select("key")
     )
-    return stored(labelled.join(mixed, "key", "left_semi"), "members")
+    return stored(join_groups(labelled, mixed, ["key"], ["doc"]).select("key", "doc", "label"), "members")
 
 
-def _bottoms(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """doc, n_shingles, bottom: the BOTTOM smallest hashes of the members' sets."""
+def _whole_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """doc, shingles (sorted 64-bit hashes): the whole sets of the documents in wanted (doc)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, stop, words in chunks(batch.column("text")):
                 values, bounds = shingle_sets(words)
-                sets = [values[a:b] for a, b in zip(bounds, bounds[1:])]
+                sets = [values[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc").slice(first, stop - first),
-                        pa.array([len(own) for own in sets], pa.int64()),
-                        pa.array([own[:BOTTOM].tobytes() for own in sets], pa.binary()),
-                    ],
-                    names=["doc", "n_shingles", "bottom"],
+                    [batch.column("doc").slice(first, stop - first), pa.array(sets, pa.binary())],
+                    names=["doc", "shingles"],
                 )
 
-    wanted = members.select("doc").distinct()
-    named = wanted.select(F.col("doc").alias("u"), F.col("doc").alias("v"))
-    texts = _asked_for(docs, named).select(F.col("doc_id").alias("doc"), "text")
-    read = texts.join(wanted, "doc", "left_semi")
-    return map_batches(read, cut, "doc long, n_shingles long, bottom binary").distinct()
+    texts = _asked_for(docs, wanted.withColumnRenamed("doc", "doc_id"))
+    read = texts.withColumnRenamed("doc_id", "doc").join(wanted, "doc", "left_semi")
+    return map_batches(read.select("doc", "text"), cut, "doc long, shingles binary").distinct()
 
 
-def _across(members: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Promising pairs (u, v) of different components, among members that share a band of each
-    collection: blocks of the members of each band of the first, every one beside every other."""
-    bottoms = stored(_bottoms(docs, members), "bottoms")
-    facts = (
-        members.select("doc", "label")
-        .distinct()
-        .join(classes, "doc")
-        .join(bottoms, ["doc", "n_shingles"])
+def _blocks(members: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """band, home, block, held (array of doc, label, shingles): the members of the bands of the
+    first collection that hold more than one component. Members of a component that fills blocks
+    of its own have it as their home, others 0 and no `single`."""
+    apart = stored(members.select("doc", "label").distinct(), "apart")
+    rows = apart.join(classes, "doc").select(
+        "doc", "label", "n_shingles", F.explode(_bands(0)).alias("band")
     )
-    held = ("doc", "label", "n_shingles", "minhashes", "bottom")
-    rows = stored(facts.select(*held, F.posexplode(_bands(0)).alias("place", "band")), "banded")
-    counts = stored(
-        rows.groupBy("band")
-        .agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
-        .where("low < high")
-        .select("band", F.ceil(F.col("n") / BLOCK_ROWS).alias("blocks")),
-        "bands",
+    rows = stored(rows, "banded")
+    labels = rows.groupBy("band", "label").agg(
+        F.count("*").alias("n"), F.sum("n_shingles").alias("shingles")
+    )
+    single = F.col("n") >= BLOCK_ROWS
+    homes = labels.withColumn("single", single).withColumn(
+        "home", F.when(single, F.col("label")).otherwise(0)
     )
-    blocks = stored(
-        rows.join(counts, "band")
+    homes = stored(homes, "homes")
+    mixed = homes.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    sizes = (
+        homes.join(mixed.where("low < high").select("band"), "band", "left_semi")
+        .groupBy("band", "single", "home")
+        .agg(
+            F.greatest(
+                F.ceil(F.sum("n") / BLOCK_ROWS), F.ceil(F.sum("shingles") / BLOCK_SHINGLES)
+            ).alias("blocks")
+        )
+    )
+    placed = (
+        rows.join(homes.select("band", "label", "single", "home"), ["band", "label"])
+        .join(sizes, ["band", "single", "home"])
         .withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")))
-        .groupBy("band", "place", "block")
-        .agg(F.collect_list(F.struct(*held)).alias("held")),
-        "blocks",
+        .select("band", "single", "home", "block", "doc", "label")
     )
-    first = blocks.select("band", "place", F.col("block").alias("b_u"), F.col("held").alias("u"))
-    second = blocks.select("band", F.col("block").alias("b_v"), F.col("held").alias("v"))
-    tiles = first.join(second, "band").where("b_u <= b_v").select("u", "v", "place")
+    sets = stored(_whole_sets(docs, apart.select("doc")), "sets")
+    return (
+        placed.join(sets, "doc")
+        .groupBy("band", "single", "home", "block")
+        .agg(F.collect_list(F.struct("doc", "label", "shingles")).alias("held"))
+    )
+
+
+def _across(members: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (u, v) that join different components, among members that share a band of the first
+    collection."""
+    blocks = stored(_blocks(members, classes, docs), "blocks")
+    place = F.struct("single", "home", "block").alias("place")
+    one = blocks.select("band", place, F.col("held").alias("u"))
+    other = blocks.select("band", place.alias("place_v"), F.col("held").alias("v"))
+    same_component = (
+        F.col("place.single") & F.col("place_v.single")
+        & (F.col("place.home") == F.col("place_v.home"))
+    )
+    tiles = one.join(other, "band").where((F.col("place") <= F.col("place_v")) & ~same_component)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        joined = Joined()
         for batch in batches:
             for k in range(batch.num_rows):
                 one, other = (Block(batch.column(side)[k].values) for side in ("u", "v"))
-                pairs = promising_pairs(one, other, batch.column("place")[k].as_py())
+                pairs = joining_links(one, other, joined)
                 u, v = zip(*pairs) if pairs else ((), ())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"]
                 )
 
-    return map_batches(tiles, compare, "u long, v long").distinct()
+    return map_batches(tiles.select("u", "v"), compare, "u long, v long").distinct()
 
 
-class Block:
-    """A block's documents as arrays."""
+class Joined:
+    """Components that a task has seen joined."""
 
-    def __init__(self, held: pa.StructArray):
-        self.doc, self.label, self.size = (
-            held.field(name).to_numpy(zero_copy_only=False)
-            for name in ("doc", "label", "n_shingles")
-        )
-        minhashes = held.field("minhashes").flatten().to_numpy(zero_copy_only=False)
-        self.minhashes = minhashes.reshape(-1, HASHES)
-        self.bottom = [np.frombuffer(b, dtype=np.uint64) for b in held.field("bottom").to_pylist()]
+    def __init__(self):
+        self.above: dict[int, int] = {}
 
+    def root(self, label: int) -> int:
+        while (up := self.above.get(label, label)) != label:
+            self.above[label] = self.above.get(up, up)
+            label = up
+        return label
+
+    def join(self, a: int, b: int) -> bool:
+        """Whether they were apart."""
+        a, b = self.root(a), self.root(b)
+        if a != b:
+            self.above[max(a, b)] = min(a, b)
+        return a != b
 
-def promising_pairs(one: Block, other: Block, place: int) -> list[tuple[int, int]]:
-    """(smaller, greater) of the pairs of different labels whose first shared band of the first
-    collection is `place`, that share one of the second, and that no sketch rules out."""
-    wanted = (one.label[:, None] != other.label) & (one.doc[:, None] != other.doc)
-    wanted &= 100 * np.minimum(one.size[:, None], other.size) >= PERCENT * np.maximum(
-        one.size[:, None], other.size
-    )
-    left, right = np.nonzero(wanted)
-    equal = one.minhashes[left] == other.minhashes[right]
-    bands = equal.reshape(len(left), 2, BANDS, ROWS).all(axis=3)
-    chosen = (equal.sum(axis=1) >= LEAST_EQUAL) & bands[:, 1].any(axis=1)
-    chosen &= bands[:, 0].any(axis=1) & (bands[:, 0].argmax(axis=1) == place)
-    pairs = {
-        (int(min(one.doc[a], other.doc[b])), int(max(one.doc[a], other.doc[b])))
-        for a, b in zip(left[chosen], right[chosen])
-        if bottoms_allow(one.bottom[a], other.bottom[b])
-    }
-    return sorted(pairs)
 
+class Block:
+    """A block's documents: ids, labels, and their sets one after the other."""
 
-def bottoms_allow(left: np.ndarray, right: np.ndarray) -> bool:
-    """Whether two sets with these smallest hashes can be similar enough: certain if both are
-    whole sets, else by the share of common hashes among the BOTTOM smallest of the two
-    together."""
-    common = np.intersect1d(left, right, assume_unique=True)
-    if len(left) < BOTTOM and len(right) < BOTTOM:
-        return 100 * len(common) >= PERCENT * (len(left) + len(right) - len(common))
-    union = np.union1d(left, right)[:BOTTOM]
-    return np.searchsorted(common, union[-1], side="right") >= LEAST_BOTTOM * len(union)
+    def __init__(self, held: pa.StructArray):
+        self.doc, self.label = (held.field(c).to_numpy(zero_copy_only=False) for c in ("doc", "label"))
+        sets = [np.frombuffer(own, dtype=np.uint64) for own in held.field("shingles").to_pylist()]
+        self.size = np.array([len(own) for own in sets], dtype=np.int64)
+        self.owner = np.repeat(np.arange(len(sets)), self.size)
+        self.shingles = np.concatenate(sets)
+
+    def incidence(self, shingles: np.ndarray) -> np.ndarray:
+        """Which documents hold which of these sorted shingles, as 0 and 1."""
+        at = np.minimum(np.searchsorted(shingles, self.shingles), len(shingles) - 1)
+        there = shingles[at] == self.shingles
+        out = np.zeros((len(self.doc), len(shingles)), dtype=np.float32)
+        out[self.owner[there], at[there]] = 1
+        return out
+
+
+def shared_shingles(one: Block, other: Block) -> np.ndarray:
+    """The size of the intersection of each document's set with each of the other block's."""
+    shared = np.zeros((len(one.doc), len(other.doc)), dtype=np.int64)
+    both = np.intersect1d(one.shingles, other.shingles)
+    for start in range(0, len(both), TILE_COLUMNS):
+        part = both[start : start + TILE_COLUMNS]
+        shared += (one.incidence(part) @ other.incidence(part).T).astype(np.int64)
+    return shared
+
+
+def joining_links(one: Block, other: Block, joined: Joined) -> list[tuple[int, int]]:
+    """Links (smaller, greater) of the tile that join components not yet joined."""
+    left, right = (
+        np.array([joined.root(label) for label in block.label.tolist()]) for block in (one, other)
+    )
+    wanted = left[:, None] != right
+    if not wanted.any():
+        return []
+    shared = shared_shingles(one, other)
+    union = one.size[:, None] + other.size - shared
+    wanted &= (shared > 0) & (100 * shared >= PERCENT * union)
+    return [
+        (int(min(one.doc[a], other.doc[b])), int(max(one.doc[a], other.doc[b])))
+        for a, b in zip(*np.nonzero(wanted))
+        if joined.join(int(one.label[a]), int(other.label[b]))
+    ]
 
 
 def group_documents(docs: DataFrame) -> DataFrame:
@@ -412,18 +479,16 @@ def group_documents(docs: DataFrame) -> DataFrame:
         rows.join(buckets, "key", "left_semi").withColumn("label", F.col("doc")), "members"
     )
     links = None
-    for turn in range(ROUNDS + 1):
-        if turn < ROUNDS:
-            pairs = _promising(_stars(members, turn), classes)
-        else:
-            pairs = _across(members, classes, docs)
-        found = stored(_verified(stored(pairs, "pairs"), docs), "links")
+    for turn in range(ROUNDS):
+        pairs = stored(_promising(_stars(members, turn), classes), "pairs")
+        found = stored(_verified(pairs, docs), "links")
         links = found if links is None else links.unionAll(found)
-        if turn < ROUNDS:
-            # Labels that fall short of whole components only mean some comparisons more.
-            members = _still_apart(members, connected(links, 1))
-            if members.isEmpty():
-                break
+        # Labels that fall short of whole components only mean some comparisons more.
+        members = _still_apart(members, _hooks(pairs, found))
+        if members.isEmpty():
+            break
+    else:
+        links = links.unionAll(stored(_across(members, classes, docs), "links"))
 
     component = stored(connected(links), "components")
     membership = sketches.select("doc_id", *same_set).join(smallest, same_set, "left")
