@@ -1,6 +1,8 @@
 """Operators on texts: odd rows, ties, long texts, and plain versions on random ones."""
 
 import random
+import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -154,17 +156,68 @@ def test_base_spans_of_odd_texts(docs_of):
         assert row["base_spans"] == ",".join(expected)
 
 
-def plain_cost(costs, value):
+def all_spans(costs, value, repeats=True):
+    """Every word, date, walk and repeat, found by looking at every stretch."""
+    lower = value.lower()
+    for a in range(len(value)):
+        for b in range(a + 1, len(value) + 1):
+            part, low = value[a:b], lower[a:b]
+            if 3 <= b - a <= secret_scan.LONGEST_WORD:
+                for word in (low, low[::-1]):
+                    if word in costs.rank:
+                        yield a, b, costs.rank[word] + (np.log10(2) if part != low else 0)
+                        break
+            if re.fullmatch(r"(19|20)\d\d", part):
+                yield a, b, np.log10(120)
+            day, month = r"(0[1-9]|[12]\d|3[01])", r"(0[1-9]|1[0-2])"
+            if any(re.fullmatch(date, part) for sep in ("", "-", "/", r"\.", "_") for date in (
+                rf"(19|20)\d\d{sep}{month}{sep}{day}", rf"{day}{sep}{month}{sep}((19|20)\d\d|\d\d)",
+            )):
+                yield a, b, np.log10(365 * 120)
+            if b - a >= 3 and all(
+                any(x + y in row or y + x in row for row in secret_scan.WALKS) for x, y in zip(low, low[1:])
+            ):
+                yield a, b, np.log10(47 * 2 * (b - a))
+            for unit in range(1, 17 if repeats else 1):
+                times = (b - a) // unit
+                if times >= 2 and b - a >= 3 and part == part[:unit] * times:
+                    yield a, b, plain_cost(costs, part[:unit], False) + np.log10(times)
+
+
+def plain_cost(costs, value, repeats=True):
     """Cheapest division, by trying all."""
-    spans = {(a, b): c for a, b, c in sorted(costs.spans(value), key=lambda s: -s[2])}
+    spans = {}
+    for a, b, cost in all_spans(costs, value, repeats):
+        spans.setdefault(a, []).append((b, cost))
     best = {len(value): 0.0}
     for at in range(len(value) - 1, -1, -1):
         options = [costs.character(value[at]) + best[at + 1]]
-        options += [c + best[b] for (a, b), c in spans.items() if a == at]
+        options += [c + best[b] for b, c in spans.get(at, ())]
         best[at] = min(options)
     return best[0]
 
 
+def test_parts_of_walks_and_repeats_count():
+    costs = secret_scan.GuessCost(["tyrant", "rabbit", "abcd"])
+    assert costs.cost("qwertyrant") == pytest.approx(plain_cost(costs, "qwertyrant"))
+    assert costs.cost("qwertyrant") < 5
+    rng = random.Random(12)
+    for letters in ("ab", "abcd1", "qwertyrant", "0129-", "asdf12"):
+        for _ in range(60):
+            value = "".join(rng.choice(letters) for _ in range(rng.randrange(1, 22)))
+            assert costs.cost(value) == pytest.approx(plain_cost(costs, value)), value
+    for value in ("abcabcabcab" * 3, "aaaaaaabbbbbbb", "12-12-2012-12", "20120112", "qwertyqwertyuiopoiu"):
+        assert costs.cost(value) == pytest.approx(plain_cost(costs, value)), value
+
+
+def test_long_values_take_steps_in_proportion():
+    costs = secret_scan.GuessCost(["tyrant"])
+    for value in ("a" * 30_000, "qwer" * 8_000, "qwertrewq" * 4_000, "xy7!" * 8_000):
+        began = time.perf_counter()
+        assert costs.cost(value) < 40
+        assert time.perf_counter() - began < 20
+
+
 def test_guess_cost():
     costs = secret_scan.GuessCost(["harbour", "window"])
     rng = random.Random(2)

@@ -2,8 +2,9 @@
 
 Base spans are assignments to credential names, access keys and long hexadecimal runs. Beside
 them, any value in a credential's place (`pwd: ...`, `passphrase is ...`; between quotes, all
-up to the closing one on that line) is judged by what it would cost to guess: dynamic programming finds its cheapest division into common words, dates,
-repeats, keyboard walks and plain characters. A value that takes MIN_GUESSES or more is a
+up to the closing one on that line) is judged by what it would cost to guess: dynamic
+programming finds its cheapest division into common words, dates, repeats, keyboard walks and
+plain characters, any part of a longer walk or repeat included. A value that takes MIN_GUESSES or more is a
 secret (`guess`); `password: required` is not. Common words are those of the corpus itself,
 ranked over all its documents, after a short fixed list of passwords. What stands in a
 credential's place is not counted: copies of a credential don't make it a common word.
@@ -73,15 +74,20 @@ PASSWORDS = (
 #: Rows of keys that are walked along, and two other common orders (fixed values).
 WALKS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./", "abcdefghijklmnopqrstuvwxyz")
 
-DATE = re.compile(
-    r"(?:19|20)\d\d(?:([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01]))?"
-    r"|(?:0[1-9]|[12]\d|3[01])([-/._]?)(?:0[1-9]|1[0-2])\2(?:(?:19|20)?\d\d)",
-    re.ASCII,
+_DAY, _MONTH, _CENTURY = r"(?:0[1-9]|[12]\d|3[01])", r"(?:0[1-9]|1[0-2])", r"(?:19|20)"
+#: A year, and a date with its year first, last, or last in two digits: all that start somewhere.
+YEAR = re.compile(rf"{_CENTURY}\d\d", re.ASCII)
+DATES = (
+    re.compile(rf"{_CENTURY}\d\d([-/._]?){_MONTH}\1{_DAY}", re.ASCII),
+    re.compile(rf"{_DAY}([-/._]?){_MONTH}\1{_CENTURY}\d\d", re.ASCII),
+    re.compile(rf"{_DAY}([-/._]?){_MONTH}\1\d\d", re.ASCII),
 )
 #: Days that a date or years that a year may be.
 DATE_GUESSES, YEAR_GUESSES = math.log10(365 * 120), math.log10(120)
 
+#: The longest part whose repeats count, and the fewest characters of a walk or of repeats.
 LONGEST_UNIT = 16
+LEAST_RUN = 3
 
 
 class GuessCost:
@@ -105,11 +111,9 @@ class GuessCost:
             return math.log10(26) if char.isascii() else math.log10(100)
         return math.log10(33)
 
-    def spans(self, value: str, depth: int = 0) -> Iterator[tuple[int, int, float]]:
-        """(start, end, cost) of every word, date, repeat and walk in the value."""
-        lower = value.lower()
-        if len(lower) != len(value):
-            lower = value
+    def words_and_dates(self, value: str) -> Iterator[tuple[int, int, float]]:
+        """(start, end, cost) of every word and date in the value."""
+        lower = _lower(value)
         size = len(value)
         for start in range(size):
             for end in range(start + 3, min(size, start + LONGEST_WORD) + 1):
@@ -120,42 +124,107 @@ class GuessCost:
                 if cost is not None:
                     cased = value[start:end] != word
                     yield start, end, cost + (math.log10(2) if cased else 0)
-            date = DATE.match(value, start)
-            if date:
-                yield start, date.end(), DATE_GUESSES if len(date[0]) > 4 else YEAR_GUESSES
-        start = 0
-        for end in range(1, size + 1):
-            if end == size or lower[end] not in self.steps.get(lower[end - 1], ()):
-                if end - start >= 3:
-                    yield start, end, math.log10(47 * 2 * (end - start))
-                start = end
-        for unit in range(1, min(LONGEST_UNIT, size // 2) + 1):
-            start = 0
-            while start + 2 * unit <= size:
-                end = start + unit
-                while end < size and value[end] == value[end - unit]:
-                    end += 1
-                times = (end - start) // unit
-                if times >= 2 and times * unit >= 3:
-                    part = value[start : start + unit]
-                    cost = self.cost(part, depth + 1) if depth == 0 else math.inf
-                    yield start, start + times * unit, cost + math.log10(times)
-                start = max(start + 1, end - unit + 1)
-
-    def cost(self, value: str, depth: int = 0) -> float:
-        """Of the cheapest division into spans and single characters."""
+            if value[start].isdigit():
+                year = YEAR.match(value, start)
+                if year:
+                    yield start, year.end(), YEAR_GUESSES
+                for date in DATES:
+                    found = date.match(value, start)
+                    if found:
+                        yield start, found.end(), DATE_GUESSES
+
+    def cost(self, value: str, repeats: bool = True) -> float:
+        """Of the cheapest division into spans and single characters: every word and date, every
+        walk of LEAST_RUN keys or more, every part of at most LONGEST_UNIT characters that
+        stands twice or more in a row (a part's own repeats don't count: they are a shorter
+        part's)."""
         ending: dict[int, list[tuple[int, float]]] = {}
-        for start, end, cost in self.spans(value, depth):
+        for start, end, cost in self.words_and_dates(value):
             ending.setdefault(end, []).append((start, cost))
+        lower = _lower(value)
         best = [0.0]
+        walk = _Starts(_walk_guesses)
+        units = range(1, min(LONGEST_UNIT, len(value) // 2) + 1) if repeats else ()
+        # Of each unit, the starts of its repeats by where they stand within it, and the first
+        # place from which on the value repeats itself at that distance.
+        runs = {unit: [_Starts(math.log10) for _ in range(unit)] for unit in units}
+        since = dict.fromkeys(units, 0)
+        parts: dict[str, float] = {}
         for end in range(1, len(value) + 1):
             least = best[end - 1] + self.character(value[end - 1])
             for start, cost in ending.get(end, ()):
                 least = min(least, best[start] + cost)
+            if end > 1 and lower[end - 1] not in self.steps.get(lower[end - 2], ()):
+                walk.clear()
+            walk.add(end - 1, best[end - 1])
+            least = min(least, walk.cheapest(end, 1, LEAST_RUN))
+            for unit in units:
+                if end > unit and value[end - 1] != value[end - 1 - unit]:
+                    since[unit] = end - unit
+                if end < unit:
+                    continue
+                starts = runs[unit][end % unit]
+                if starts.drop_before(since[unit]):
+                    least = min(least, starts.cheapest(end, unit, max(2 * unit, LEAST_RUN)))
+                part = value[end - unit : end]
+                if part not in parts:
+                    parts[part] = self.cost(part, False)
+                starts.add(end - unit, best[end - unit] + parts[part])
             best.append(least)
         return best[-1]
 
 
+def _lower(value: str) -> str:
+    lower = value.lower()
+    return lower if len(lower) == len(value) else value
+
+
+def _walk_guesses(size: float) -> float:
+    """Any of 47 keys, either way, so many steps."""
+    return math.log10(47 * 2 * size)
+
+
+class _Starts:
+    """Places where a run may start, first to last, and what a value costs up to there. A run's own
+    cost grows ever slower with its length; so a start that costs no less than an earlier one
+    at some end never will again, and is forgotten."""
+
+    def __init__(self, guesses):
+        self.guesses = guesses
+        self.places: list[int] = []
+        self.before: list[float] = []
+
+    def clear(self) -> None:
+        self.places.clear()
+        self.before.clear()
+
+    def add(self, place: int, before: float) -> None:
+        self.places.append(place)
+        self.before.append(before)
+
+    def drop_before(self, place: int) -> int:
+        """Forgets earlier starts; how many are left."""
+        gone = bisect_left(self.places, place)
+        if gone:
+            del self.places[:gone], self.before[:gone]
+        return len(self.places)
+
+    def cheapest(self, end: int, unit: int, least: int) -> float:
+        """Of the runs of at least `least` characters that end here."""
+        lowest, kept = math.inf, 0
+        for place, before in zip(self.places, self.before):
+            size = end - place
+            if size >= least:
+                cost = before + self.guesses(size / unit)
+                if cost >= lowest:
+                    continue
+                lowest = cost
+            self.places[kept], self.before[kept] = place, before
+            kept += 1
+        del self.places[kept:], self.before[kept:]
+        return lowest
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     found = []
     for match in ASSIGN.finditer(text):
