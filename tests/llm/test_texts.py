@@ -86,6 +86,23 @@ def test_substring_dedup_of_texts_that_share_an_id(docs_of):
     assert sorted(cut, key=repr) == sorted(((r[0], r[3]) for r in reference.kept_words(rows)), key=repr)
 
 
+def test_spans_of_repeated_rows_are_listed_once(docs_of):
+    """And a column named like the one that carries spans is left alone."""
+    rng = random.Random(8)
+    passage = sentence(rng, 40, 1000)
+    rows = [(1, passage), (2, "start " + passage + " end")] * 30
+    docs = docs_of(rows).withColumn(substring_dedup.SPANS, F.lit("own"))
+    spans = substring_dedup._with_spans(docs, substring_dedup._free_name(docs))
+    lists = [r[-1] for r in spans.collect() if r[-1]]
+    assert len(lists) == 30 and len({len(own) for own in lists}) == 1
+    assert len(lists[0]) == len(set(lists[0])) < 40
+    out = substring_dedup.drop_repeats(docs, "n_chars")
+    assert out.columns == docs.columns
+    assert {(r["doc_id"], r["text"], r[substring_dedup.SPANS]) for r in out.collect()} == {
+        (1, passage, "own"), (2, "start end", "own"),
+    }
+
+
 def test_dropped_passages_leave_layout_alone(docs_of):
     rng = random.Random(7)
     passage = sentence(rng, 20, 1000)
@@ -415,6 +432,24 @@ def test_plan_holds_every_piece_once():
             assert len(plan) <= 8 * capacity + len(histogram)
 
 
+def test_repeated_rows_are_numbered_in_many_shares(docs_of, monkeypatch):
+    """Equal rows are dealt like others, and a small share makes more of them."""
+    monkeypatch.setattr(packing, "LEAST_SHARES", 4)
+    monkeypatch.setattr(packing, "SHARE_ROWS", 20)
+    rows = [(1, "the same text")] * 500 + [(k, f"own text {k}") for k in range(100)]
+    seen = []
+    plan = packing._slots
+    monkeypatch.setattr(packing, "_slots", lambda p: seen.append(p) or plan(p))
+    got = packing.pack_documents(docs_of(rows, 5), *TOKENIZER, capacity=64).collect()
+    places = {(r["sequence_id"], r["offset"]) for r in got}
+    assert len(got) == len(places) == 600
+    ends = {}
+    for r in sorted(got, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == ends.get(r["sequence_id"], 0)
+        ends[r["sequence_id"]] = r["offset"] + r["length"]
+    assert max(ends.values()) <= 64 and len(ends) == sum(many for many, _ in seen[0])
+
+
 def test_two_fit_replaces_the_smallest():
     """Greedy: 6 + 3, gap 1. Without the 3, 2 + 2 fill the gap."""
     assert packing._two_for_the_smallest([6, 3], 1, {6: 1, 3: 1, 2: 2}) == [6, 2, 2]

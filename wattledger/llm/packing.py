@@ -9,8 +9,8 @@ Only lengths matter to a plan, and there are at most `capacity` of them. So the
 over the histogram of lengths: what a sequence holds, and how many sequences are alike. Each
 step uses up some length, so the plan has at most about capacity * ln(capacity) kinds however
 many documents there are. Pieces then find their place by their number among those of their
-length, which is counted within shares of each length, so that no length, however frequent,
-meets in one task.
+length, which is counted within shares of each length, dealt by the place of a row in the input, so
+that no length and no repeated row, however frequent, meets in one task.
 
 A null text is empty (a sequence piece of its end id alone); a null doc_id is kept; repeated
 rows are packed each; an empty table gives no rows. Other columns are not read.
@@ -25,14 +25,16 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattledger.llm.stored import stored
 from wattledger.llm.workers import map_batches
 
-#: Shares into which the pieces of one length are dealt.
-SHARES = 64
+#: Shares into which the pieces of one length are dealt: so many at least, and as many as it
+#: takes for this number of pieces each.
+LEAST_SHARES, SHARE_ROWS = 64, 1_000_000
 #: Matches of at most so many characters are kept with their ids, at most so many per worker.
 KEPT_CHARS = 48
 KEPT_MATCHES = 1_000_000
@@ -105,13 +107,16 @@ def piece_ids(path: str, pattern: str) -> PieceIds:
 def cut_documents(
     docs: DataFrame, tokenizer: str, pattern: str, capacity: int, end_id: int, with_ids: bool
 ) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 (and ids) of every piece of every document."""
-    names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
-    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()] + [pa.binary()] * with_ids
+    """doc_id, piece, start, length, ids_crc32, salt (and ids) of every piece of every document.
+    Salts deal pieces evenly, whatever they hold: they come from the place of the row."""
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", "salt"] + ["ids"] * with_ids
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
+    types += [pa.binary()] * with_ids
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = piece_ids(tokenizer, pattern)
+        salt = zlib.crc32(str(TaskContext.get().partitionId()).encode())
         for batch in batches:
             rows = []
             for doc_id, text in zip(
@@ -123,7 +128,8 @@ def cut_documents(
                 bounds = [0, *range(first, total + 1, capacity)]
                 for piece, (a, b) in enumerate(zip(bounds, bounds[1:])):
                     part = ids[4 * a : 4 * b]
-                    row = (doc_id, piece, a, b - a, zlib.crc32(part))
+                    salt = (salt + 1) & 0x7FFFFFFF
+                    row = (doc_id, piece, a, b - a, zlib.crc32(part), salt)
                     rows.append((*row, part) if with_ids else row)
             columns = zip(*rows) if rows else [()] * len(names)
             yield pa.RecordBatch.from_arrays(
@@ -131,7 +137,7 @@ def cut_documents(
             )
 
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, salt int"
     return map_batches(read, cut, schema + ", ids binary" * with_ids)
 
 
@@ -218,8 +224,10 @@ def pack_documents(
     spark = docs.sparkSession
     pieces = stored(
         cut_documents(docs, tokenizer, pattern, capacity, end_id, with_ids), "pieces"
-    ).withColumn("share", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(SHARES)))
-    # At most capacity * SHARES rows, and capacity of them on the driver.
+    )
+    # A share of a length is numbered by one task; more pieces make more shares.
+    shares = max(LEAST_SHARES, -(-pieces.count() // SHARE_ROWS))
+    pieces = pieces.withColumn("share", F.pmod(F.xxhash64("salt"), F.lit(shares)))
     counts = pieces.groupBy("length", "share").agg(F.count("*").alias("n"))
     in_order = Window.partitionBy("length").orderBy("share")
     before = F.sum("n").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
@@ -238,8 +246,8 @@ def pack_documents(
     own = Window.partitionBy("length", "share").orderBy("doc_id", "piece", "ids_crc32")
     numbered = pieces.withColumn("own", F.row_number().over(own) - 1)
     placed = (
-        # Both tables are bounded by the capacity alone.
-        numbered.join(F.broadcast(first), ["length", "share"])
+        # The pieces are dealt by length and share already. Slots are bounded by the capacity.
+        numbered.join(first, ["length", "share"])
         .join(F.broadcast(slots), "length")
         .withColumn("number", F.col("before") + F.col("own"))
         .withColumn("slot", F.expr("element_at(filter(slots, s -> s.first <= number), -1)"))

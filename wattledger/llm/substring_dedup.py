@@ -13,8 +13,9 @@ these steps, each a join or an aggregation on anchors:
 4. Where it branches, the edges of the compacted paths are compared one by one.
 
 A path repeats if its source is another document; an edge of a source path repeats if a path
-of a smaller document holds it. Both hashes, 128 bits, must agree with those at the source's
-coordinates.
+of a smaller document holds it. Whole paths must agree in both hashes, 128 bits, with the path at
+the source's coordinates; single edges in anchor and edge, 64 bits each. Words are not compared
+beyond that.
 
 Words are runs of bytes other than space, tab, line feed, vertical tab, form feed and carriage
 return. Null texts have no words. A row without a doc_id is no source and loses nothing;
@@ -41,7 +42,7 @@ from wattledger.llm.workers import map_batches
 WINDOW = 13
 ANCHOR_WORDS = 5
 
-#: The column that carries repeated spans to the texts; no table should have one like it.
+#: The column that carries repeated spans to the texts; with more signs where a table has it.
 SPANS = "_repeated_spans"
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -241,12 +242,20 @@ def _spans_and_tables(docs: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     return whole.unionAll(single), [paths, compacted, branching, edges, first]
 
 
-def _with_spans(docs: DataFrame) -> DataFrame:
-    """docs and SPANS: each text's repeated spans (null if there are none)."""
+def _free_name(docs: DataFrame) -> str:
+    name = SPANS
+    while name.lower() in map(str.lower, docs.columns):
+        name += "_"
+    return name
+
+
+def _with_spans(docs: DataFrame, name: str) -> DataFrame:
+    """docs and a column of each text's repeated spans (null if there are none). A text's spans
+    are a set: repeated rows find the same ones."""
     found, tables = _spans_and_tables(docs)
     spans = stored(
         found.groupBy("doc_id", "text_hash")
-        .agg(F.collect_list(F.struct("start", "edges")).alias(SPANS)),
+        .agg(F.collect_set(F.struct("start", "edges")).alias(name)),
         "spans",
     )
     drop(*tables)
@@ -254,7 +263,7 @@ def _with_spans(docs: DataFrame) -> DataFrame:
         F.xxhash64(docs["text"]) == spans["text_hash"]
     )
     return docs.join(spans, same_text, "left").select(
-        *[docs[name] for name in docs.columns], spans[SPANS]
+        *[docs[column] for column in docs.columns], spans[name]
     )
 
 
@@ -294,7 +303,7 @@ def keep_first(docs: DataFrame) -> DataFrame:
 
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return map_batches(
-        _with_spans(read), kept, "doc_id long, n_words long, n_removed long, kept string"
+        _with_spans(read, SPANS), kept, "doc_id long, n_words long, n_removed long, kept string"
     )
 
 
@@ -302,18 +311,19 @@ def drop_repeats(docs: DataFrame, length: str | None = None) -> DataFrame:
     """docs with repeated words cut out of `text`, white space before each included; texts
     without repeats stay as they are. length: a column that holds a text's code points, to be
     kept right."""
+    carried = _free_name(docs)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             changed = {}
-            for row, spans in enumerate(batch.column(SPANS)):
+            for row, spans in enumerate(batch.column(carried)):
                 text = batch.column("text")[row].as_py() if spans.is_valid else None
                 if text:
                     changed[row] = cut_words(text, spans.as_py())
-            names = [name for name in batch.schema.names if name != SPANS]
+            names = [name for name in batch.schema.names if name != carried]
             yield with_texts(batch.select(names), changed, length)
 
-    return map_batches(_with_spans(docs), cut, docs.schema)
+    return map_batches(_with_spans(docs, carried), cut, docs.schema)
 
 
 def cut_words(text: str, spans: list[dict]) -> str:
