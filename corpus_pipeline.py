@@ -44,9 +44,9 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each document stands in which sequence."""
+    """Where each piece of each document stands in which sequence, with its ids."""
     path = public_tokenizers.path("byte_bpe_50k.json")
-    return packing.pack_documents(docs, path, public_tokenizers.PATTERN)
+    return packing.pack_documents(docs, path, public_tokenizers.PATTERN, with_ids=True)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
