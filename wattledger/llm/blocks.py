@@ -152,6 +152,19 @@ def block_join(
     return map_batches(pairs, search, f"query_id long, vec_id long, score {score}")
 
 
+def grid(cells: int, candidates: float, queries: float) -> tuple[int, int]:
+    """Columns for the candidates and rows for the queries, about `cells` together, with the
+    fewest copies: a block of candidates goes to every row, one of queries to every column."""
+    columns = round((cells * max(candidates, 1) / max(queries, 1)) ** 0.5)
+    columns = min(max(columns, 1), cells)
+    return columns, max(cells // columns, 1)
+
+
+def every(number: int) -> Column:
+    """One row for each of 0 to number - 1."""
+    return F.explode(F.sequence(F.lit(0), F.lit(number - 1)))
+
+
 def ranked(lists: DataFrame, count: int) -> DataFrame:
     """The lists of all tasks merged: the `count` best of each query with their rank. Each
     task cuts its part of a query's entries to `count` before they are shuffled."""

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattledger.llm.blocks import usable
+from wattledger.llm.blocks import every, grid, usable
 from wattledger.llm.stored import stored
 from wattledger.llm.workers import map_batches
 
@@ -353,14 +353,6 @@ def pack_queries(asking: DataFrame) -> DataFrame:
     return map_batches(read, packed, QUERY_SCHEMA.replace("cell int", "cell long"))
 
 
-def grid(cells: int, rows: int, queries: int) -> tuple[int, int]:
-    """Columns for the trees and rows for the blocks of queries, about `cells` together, with the
-    fewest copies: a tree goes to every row, a block to every column."""
-    columns = round((cells * max(rows, 1) / max(queries, 1)) ** 0.5)
-    columns = min(max(columns, 1), cells)
-    return columns, max(cells // columns, 1)
-
-
 def best_products(trees: DataFrame, queries: DataFrame, count: int, same_label: bool) -> DataFrame:
     """anchor_id, window, vec_id, score: each query's `count` best entries, ranked. trees and
     queries: stored tables of pack_trees and pack_queries."""
@@ -370,10 +362,6 @@ def best_products(trees: DataFrame, queries: DataFrame, count: int, same_label:
         for table, ids in ((trees, "ids"), (queries, "q_ids"))
     ]
     columns, rows = grid(cells, *held)
-
-    def every(number: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(number - 1)))
-
     dealt_trees = trees.withColumn("row", every(rows)).withColumn(
         "cell", F.col("row") * columns + F.pmod(F.xxhash64("cell"), F.lit(columns))
     )
