@@ -318,7 +318,8 @@ _PRINTED_LABEL = (
 
 def placed_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines of printed bills, four a page, with labels and values as elements of their own:
-    the value right of its label in even lines, below it in odd ones."""
+    the value right of its label in even lines, below it in odd ones. In the order of reading all
+    labels come first."""
     lines = parse_lines(bill_texts(spark, sf_dir))
     line, label = F.col("element_index"), F.regexp_extract("content", _PRINTED_LABEL, 1)
     top = F.lit(100) * (line % 4)
@@ -336,10 +337,10 @@ def placed_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = F.when(
         label != "",
         F.array(
-            element(line * 2, label, F.array(F.lit(20), top, F.lit(120), top + 20)),
-            element(line * 2 + 1, value, F.when(line % 2 == 0, aside).otherwise(under)),
+            element(line, label, F.array(F.lit(20), top, F.lit(120), top + 20)),
+            element(line + 1000, value, F.when(line % 2 == 0, aside).otherwise(under)),
         ),
-    ).otherwise(F.array(element(line * 2, F.col("content"), whole)))
+    ).otherwise(F.array(element(line, F.col("content"), whole)))
     split = lines.withColumn("page_id", F.floor(line / 4).cast("int")).select(
         *[c for c in lines.columns if c not in ("element_index", "content", "bbox_coord", "page_id")],
         "page_id", F.inline(parts),
