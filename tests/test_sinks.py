@@ -93,9 +93,21 @@ def test_batch_that_runs_again_without_rows_leaves_none(spark, tmp_path, named):
     assert S.read_batches(spark, target).count() == 20
 
 
-def test_session_option_stays_as_it_was(spark, tmp_path):
-    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    S.write_batch(spark.range(3), 0, "sinks.option")
-    S.write_batch(spark.range(4), 1, "sinks.option")
-    assert S.read_batches(spark, "sinks.option").count() == 7
-    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == before
+@pytest.mark.parametrize("made_here", [False, True])
+def test_batches_of_a_table_are_replaced_one_by_one(spark, monkeypatch, made_here):
+    """A table made by the sink says so itself: the session's option isn't touched, which other
+    streams may be using."""
+    setting, table = "spark.sql.sources.partitionOverwriteMode", f"sinks.option_{made_here}"
+    S.ensure_schema(spark, table)
+    if not made_here:
+        empty = spark.range(0).withColumn("batch_id", F.lit(0).cast("bigint"))
+        empty.write.partitionBy("batch_id").saveAsTable(table)
+    before, changed = spark.conf.get(setting), []
+    put = type(spark.conf).set
+    monkeypatch.setattr(
+        type(spark.conf), "set", lambda conf, key, value: changed.append(key) or put(conf, key, value)
+    )
+    for batch, count in ((0, 3), (1, 4), (0, 5)):
+        S.write_batch(spark.range(count), batch, table)
+    assert S.read_batches(spark, table).count() == 9
+    assert spark.conf.get(setting) == before and bool(changed) != made_here

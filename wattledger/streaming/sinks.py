@@ -9,6 +9,9 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from wattledger.files import delete_path
 
 
+_DYNAMIC = ("partitionOverwriteMode", "dynamic")
+
+
 def ensure_schema(spark: SparkSession, table: str) -> None:
     """Creates the schema a table name starts with, if it names one."""
     if "." in table:
@@ -47,21 +50,27 @@ def _overwrite_batches(rows: DataFrame, target: str, file_format: str) -> None:
     folders = ["batch_id"]
     if _is_path(target):
         writer = rows.write.format(file_format).mode("overwrite").partitionBy(*folders)
-        writer.option("partitionOverwriteMode", "dynamic").save(target)
+        writer.option(*_DYNAMIC).save(target)
         return
     spark = rows.sparkSession
     ensure_schema(spark, target)
     if not spark.catalog.tableExists(target):
-        empty = spark.createDataFrame([], rows.schema).write.format(file_format)
+        # The table itself says that partitions are overwritten one by one.
+        empty = spark.createDataFrame([], rows.schema).write.format(file_format).option(*_DYNAMIC)
         empty.partitionBy(*folders).saveAsTable(target)
     # Inserting goes by position, and a table keeps its partition columns last.
     ordered = rows.select(*spark.table(target).columns)
-    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    if _DYNAMIC[0].lower() in spark.sql(f"SHOW CREATE TABLE {target}").first()[0].lower():
+        ordered.write.mode("overwrite").insertInto(target)
+        return
+    # A table made elsewhere: only the session can say it.
+    setting = f"spark.sql.sources.{_DYNAMIC[0]}"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, _DYNAMIC[1])
     try:
         ordered.write.mode("overwrite").insertInto(target)
     finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+        spark.conf.set(setting, before)
 
 
 def write_batch(
