@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import io
 import os
+import sys
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -27,10 +28,12 @@ def map_batches(
 ) -> DataFrame:
     """rows.mapInArrow, with this package within reach of every worker. The function is given
     at most BATCH_ROWS rows at a time, and what it needed goes back to the system at its end:
-    a worker lives on for the tasks of other stages."""
+    a worker lives on for the tasks of other stages. What other operators keep in it from task
+    to task (an encoder and its matches) is forgotten first."""
     share_package(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_others(function.__module__)
         yield from function(_small(batches))
         give_back()
 
@@ -43,6 +46,16 @@ def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(start, BATCH_ROWS)
 
 
+def forget_others(module: str) -> None:
+    """Empties the cached functions of the package's other modules."""
+    package = __name__.rpartition(".")[0]
+    for name, loaded in list(sys.modules.items()):
+        if name.startswith(f"{package}.") and name != module:
+            for value in list(vars(loaded).values()):
+                if getattr(value, "__module__", None) == name and hasattr(value, "cache_clear"):
+                    value.cache_clear()
+
+
 def give_back() -> None:
     """Freed memory that Arrow's and the C library's allocators keep, to the system."""
     pa.default_memory_pool().release_unused()
