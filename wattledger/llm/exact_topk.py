@@ -3,9 +3,9 @@
 A vector's components are dealt to NODES parts, and a node is one part of a block of vectors: a
 row of its own, which knows its own part of every score and nothing of the others.
 
-1. Gather. Every node lists its `count` highest parts of each query, and the lowest one. The
-   listed entries' other parts are asked for, and the count-th highest of their scores is a
-   cutoff that the true answer reaches.
+1. Gather. Every node lists its LISTED * `count` highest parts of each query, and the lowest one.
+   The listed entries' other parts are asked for, and the count-th highest of their scores is a
+   cutoff that the true answer reaches; the longer the lists, the nearer it is to the truth.
 2. Name. The cutoff goes out with the queries. What a part exceeds its node's lowest by is its
    excess; an entry's score is the sum of its excesses and of the nodes' lowest. Each node
    names, from its own part alone, the entries whose excess reaches its share: what the cutoff
@@ -41,6 +41,8 @@ from wattledger.llm.stored import stored
 from wattledger.llm.workers import map_batches
 
 NODES = 2
+#: How many times the entries asked for a node lists in the first phase.
+LISTED = 12
 FACTOR = 256
 
 LONG_LIMITS = (-(2**63), 2**63 - 1)
@@ -323,10 +325,11 @@ def top_products(vectors: DataFrame, is_query: Column, count: int = 5, vector: s
     )
     missing = F.array_except(F.sequence(F.lit(0), F.col("nodes") - 1), "told")
 
-    gathered = stored(_gathered(_beside(candidates, sent(None, None)), count), "gathered")
+    gathered = _gathered(_beside(candidates, sent(None, None)), LISTED * count)
+    gathered = stored(gathered, "gathered")
     lowest = gathered.where("row is null").groupBy("query_id", "node").agg(F.min("part").alias("lowest"))
     lowest = stored(lowest, "lowest")
-    listed = _lists(gathered, count).join(nodes, "query_id").withColumn("missing", missing)
+    listed = _lists(gathered, LISTED * count).join(nodes, "query_id").withColumn("missing", missing)
     listed = _completed(stored(listed, "lists"), rows, asking)
     cutoff = stored(_cutoffs(listed, lowest, count), "cutoffs")
     named = _named(_beside(candidates, sent(lowest, cutoff)))
