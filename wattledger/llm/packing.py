@@ -34,7 +34,7 @@ from wattledger.llm.workers import map_batches
 
 #: Shares into which the pieces of one length are dealt: so many at least, and as many as it
 #: takes for this number of pieces each.
-LEAST_SHARES, SHARE_ROWS = 64, 1_000_000
+LEAST_SHARES, SHARE_ROWS = 64, 50_000
 #: Matches of at most so many characters are kept with their ids, at most so many per worker.
 KEPT_CHARS = 48
 KEPT_MATCHES = 1_000_000
