@@ -65,11 +65,18 @@ def drop_exact_copies(bills: DataFrame) -> DataFrame:
     return kept.select(*bills.columns)
 
 
+def bill_columns(bills: DataFrame) -> list[str]:
+    """Columns that tell the bills of one key apart."""
+    return [name for name in ("source_file", "file_path", "bill_id") if name in bills.columns]
+
+
 def add_buildings(bills: DataFrame, buildings: DataFrame, key: str = "store_id") -> DataFrame:
     """`building_id` from the reference by store, or any other key; null where there is no
     match. A key that the reference gives several buildings has the smallest and is listed by
     ambiguous_buildings. (By what is printed on the bill: operators.linkage.)"""
-    return join_lookup(bills, one_per_key(buildings, key, "building_id"), key)
+    return join_lookup(
+        bills, one_per_key(buildings, key, "building_id"), key, spread_by=bill_columns(bills)
+    )
 
 
 def ambiguous_buildings(buildings: DataFrame, key: str = "store_id") -> DataFrame:
@@ -79,7 +86,9 @@ def ambiguous_buildings(buildings: DataFrame, key: str = "store_id") -> DataFram
 
 def add_vendors(bills: DataFrame, vendors: DataFrame) -> DataFrame:
     """The vendor's name; null for an unknown vendor ID, the smallest of several names."""
-    return join_lookup(bills, one_per_key(vendors, "vendor_id", "vendor"), "vendor_id")
+    return join_lookup(
+        bills, one_per_key(vendors, "vendor_id", "vendor"), "vendor_id", spread_by=bill_columns(bills)
+    )
 
 
 def ambiguous_vendors(vendors: DataFrame) -> DataFrame:

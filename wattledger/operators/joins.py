@@ -2,23 +2,38 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A group is cut into this many parts before adaptive execution looks at their size.
 GROUP_PARTS = 8
 
 
-def join_lookup(facts: DataFrame, lookup: DataFrame, key: str, how: str = "left") -> DataFrame:
+def join_lookup(
+    facts: DataFrame, lookup: DataFrame, key: str, how: str = "left", spread_by: Sequence[str] = ()
+) -> DataFrame:
     """Facts with the columns of a lookup that has one row per key.
 
     There is no broadcast hint: lookups such as buildings or vendors grow with the
     business. Spark broadcasts one that is under its size threshold (by file statistics,
     and again by the real size at run time). Above it, both sides are shuffled directly
     under the join, which is the plan whose oversized partitions adaptive execution
-    splits, so a key holding much of the facts is read by many tasks.
+    splits, so a key holding much of the facts is read by many tasks. A lookup that is itself an
+    aggregate by the key would be joined as it was dealt for that; columns of the facts in
+    `spread_by` cut each key into GROUP_PARTS (see join_groups), and the lookup is there in each.
     """
-    return facts.join(lookup, key, how)
+    if not spread_by:
+        return facts.join(lookup, key, how)
+    cut = facts.withColumn("_part", _part(spread_by, GROUP_PARTS))
+    return cut.join(lookup.withColumn("_part", _every(GROUP_PARTS)), [key, "_part"], how).drop("_part")
+
+
+def _part(spread_by: Sequence[str], parts: int) -> Column:
+    return F.pmod(F.xxhash64(*spread_by), F.lit(parts)).cast("int")
+
+
+def _every(parts: int) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
 
 
 def one_per_key(lookup: DataFrame, key: str, value: str) -> DataFrame:
@@ -60,10 +75,8 @@ def join_groups(
     by a hash of `spread_by` (the same on every retry), and adaptive execution cuts a
     part further when it is still too big.
     """
-    part = F.pmod(F.xxhash64(*spread_by), F.lit(parts)).cast("int")
-    every_part = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
     return (
-        rows.withColumn("_part", part)
-        .join(groups.withColumn("_part", every_part), [*keys, "_part"])
+        rows.withColumn("_part", _part(spread_by, parts))
+        .join(groups.withColumn("_part", _every(parts)), [*keys, "_part"])
         .drop("_part")
     )

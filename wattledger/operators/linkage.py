@@ -18,6 +18,7 @@ bills name costs one comparison.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wattledger.operators.bills import bill_columns
 from wattledger.operators.joins import join_lookup
 
 PARTY = ("customer_name", "service_address")
@@ -162,7 +163,8 @@ def add_linked_buildings(
     """Bills with `building_id`, `similarity`, `candidates` and `link` of their party; bills
     without a party are UNMATCHED. The bills are read twice: pass a stored table."""
     links = link_buildings(bills, buildings, threshold)
-    joined = join_lookup(bills.withColumn("party", party_key(*PARTY)), links, "party")
+    named = bills.withColumn("party", party_key(*PARTY))
+    joined = join_lookup(named, links, "party", spread_by=bill_columns(bills))
     return joined.withColumns(
         {
             "candidates": F.coalesce("candidates", F.lit(0)),
