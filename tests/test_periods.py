@@ -127,6 +127,13 @@ def test_allocation_shuffles_nothing(spark):
     assert "Exchange" not in plan_text(allocate_months(spark.createDataFrame(some_bills(), BILL)))
 
 
+def test_parts_are_dealt_by_long_numbers(spark):
+    """Lists hold long numbers, one list an amount; shares are made part by part, after the cut."""
+    text = plan_text(allocate_months(spark.createDataFrame(some_bills(), BILL)))
+    assert "posexplode" in text and "arrays_zip" not in text
+    assert "array_sort(transform(" not in text and "concat(transform(" not in text
+
+
 @pytest.mark.parametrize("columns", [BILL, "bill_start_date date, bill_end_date date, note string"])
 def test_no_bills(spark, columns):
     parts = allocate_months(spark.createDataFrame([], columns))
