@@ -7,6 +7,7 @@ import pytest
 from conftest import plan_text
 
 from wattledger.operators import linkage as L
+from wattledger.plans import inputs as I
 
 
 def words(*texts):
@@ -102,6 +103,13 @@ def test_no_rows(spark):
         L.similar_sets(bills, bills, 0.5)
 
 
+def test_no_table_of_parties_is_broadcast(spark, sf_dir):
+    """Their rows of words are larger than Spark's estimate."""
+    bills, known = frames(spark, *some_rows(2))
+    assert "Broadcast" not in plan_text(L.link_buildings(bills, known))
+    assert "Broadcast" not in plan_text(I.party_files(spark, sf_dir))
+
+
 def test_pairs_come_from_equal_keys(spark):
     """No pair of all with all, and a hot word makes no key of its own."""
     parties, buildings = some_rows(1)

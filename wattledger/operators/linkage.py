@@ -12,7 +12,8 @@ threshold; pairs are found by prefix filtering, which misses none:
 - Sets that share a key and whose sizes allow it are compared in full.
 
 Equal sets are one row on either side before anything is joined, so a customer that much of the
-bills name costs one comparison.
+bills name costs one comparison. Parties and words grow with the bills, and rows of words are many
+times larger than the columns they are made of, by which Spark estimates: all joins are shuffled.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -41,9 +42,11 @@ def party_key(*texts: str) -> Column:
 def _ranked(sets: DataFrame, frequency: DataFrame) -> DataFrame:
     """words, ranked: each set's words with the number of sets that hold them, rarest first."""
     entry = F.struct("sets", "word")
+    held = sets.select("words", F.explode("words").alias("word"))
+    # Words are as many as parties, so neither side is sent whole to the driver; a hot word's sets
+    # are cut into parts.
     return (
-        sets.select("words", F.explode("words").alias("word"))
-        .join(frequency, "word")
+        join_lookup(held, frequency.hint("merge"), "word", "inner", spread_by=["words"])
         .groupBy("words")
         .agg(F.array_sort(F.collect_list(entry)).alias("ranked"))
     )
@@ -99,7 +102,7 @@ def similar_sets(
     similarity = shared / (a + b - shared)
     return (
         keyed[0]
-        .join(keyed[1], "key")
+        .join(keyed[1].hint("merge"), "key")
         .where(F.least(a, b) >= threshold * F.greatest(a, b) - 1e-9)
         .select("left_words", "right_words", similarity.alias("similarity"))
         .where(F.col("similarity") >= threshold)
@@ -128,7 +131,7 @@ def link_buildings(
     pairs = similar_sets(parties, known.withColumnRenamed("right_words", "words"), threshold, hot)
     # One building may be found under several of its names: its best one counts.
     scored = (
-        pairs.join(known, "right_words")
+        pairs.join(known.hint("merge"), "right_words")
         .groupBy("left_words", "building_id")
         .agg(F.max("similarity").alias("similarity"))
     )
@@ -143,7 +146,7 @@ def link_buildings(
     several = F.col("candidates") > 1
     return (
         parties.select("party")
-        .join(best, "party", "left")
+        .join(best.hint("merge"), "party", "left")
         .select(
             "party",
             F.when(~several, F.col("building_id")).alias("building_id"),

@@ -396,7 +396,7 @@ def party_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     without the name, or without either."""
     customers = table(spark, sf_dir, "customer").select("c_custkey", *_party())
     lines = _with_orders(spark, sf_dir, table(spark, sf_dir, "lineitem"))
-    rows = lines.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    rows = lines.join(customers.hint("merge"), F.col("o_custkey") == F.col("c_custkey"))
     case = (F.col("l_orderkey") + F.col("l_linenumber")) % 8
     name, address = F.col("customer_name"), F.col("service_address")
     printed_name = (
