@@ -36,8 +36,9 @@ from wattledger.llm.workers import map_batches
 #: takes for this number of pieces each.
 LEAST_SHARES, SHARE_ROWS = 64, 50_000
 #: Matches of at most so many characters are kept with their ids, at most so many per worker.
+#: A match kept takes about 200 bytes, and an executor has a worker for each of its cores.
 KEPT_CHARS = 48
-KEPT_MATCHES = 1_000_000
+KEPT_MATCHES = 200_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -78,7 +79,9 @@ class PieceIds(dict):
         ids = b"".join(token.id.to_bytes(4, "little") for token in self.model.tokenize(written))
         if len(match) <= KEPT_CHARS:
             if len(self) >= KEPT_MATCHES:
-                self.clear()
+                # The newer half goes: frequent matches came early.
+                for _ in range(-(-len(self) // 2)):
+                    self.popitem()
             self[match] = ids
         return ids
 
