@@ -18,6 +18,7 @@ rows are packed each; an empty table gives no rows. Other columns are not read.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -39,6 +40,8 @@ LEAST_SHARES, SHARE_ROWS = 64, 50_000
 #: A match kept takes about 200 bytes, and an executor has a worker for each of its cores.
 KEPT_CHARS = 48
 KEPT_MATCHES = 200_000
+#: What the classes of a pre-tokenizer's pattern hold of ASCII.
+ASCII_CLASSES = {r"\p{L}": "a-zA-Z", r"\p{N}": "0-9"}
 
 
 def byte_letters() -> dict[int, str]:
@@ -51,6 +54,22 @@ def byte_letters() -> dict[int, str]:
     }
 
 
+def ascii_matcher(pattern: str) -> re.Pattern | None:
+    """The pattern for texts of ASCII only, which it cuts into the same matches, for the standard
+    library, which takes less than half the time there; None if it has no such form."""
+    parts, in_class = [], False
+    for part in re.findall(r"\\p\{[LN]\}|\\.|.", pattern, re.DOTALL):
+        if part in ASCII_CLASSES:
+            part = ASCII_CLASSES[part] if in_class else f"[{ASCII_CLASSES[part]}]"
+        elif part in "[]":
+            in_class = part == "["
+        parts.append(part)
+    try:
+        return re.compile("".join(parts), re.ASCII)
+    except re.error:
+        return None
+
+
 class PieceIds(dict):
     """Match of the pattern -> its ids as little-endian 32-bit numbers. The pre-tokenizer
     encodes matches apart, so a text's ids are those its model gives its matches, in a row.
@@ -73,10 +92,12 @@ class PieceIds(dict):
         self.cut = regex.compile(f"({'|'.join(names)})").split if self.added else None
         self.letters = byte_letters()
         self.findall = regex.compile(pattern).findall
+        plain = ascii_matcher(pattern)
+        self.findall_ascii = plain.findall if plain else self.findall
 
     def __missing__(self, match: str) -> bytes:
         written = match.encode().decode("latin-1").translate(self.letters)
-        ids = b"".join(token.id.to_bytes(4, "little") for token in self.model.tokenize(written))
+        ids = b"".join([token.id.to_bytes(4, "little") for token in self.model.tokenize(written)])
         if len(match) <= KEPT_CHARS:
             if len(self) >= KEPT_MATCHES:
                 # The newer half goes: frequent matches came early.
@@ -86,7 +107,8 @@ class PieceIds(dict):
         return ids
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, self.findall(text)))
+        matches = self.findall_ascii(text) if text.isascii() else self.findall(text)
+        return b"".join(map(self.__getitem__, matches))
 
     def encode_whole(self, text: str) -> bytes:
         """The library's ids of a text: added tokens are cut out first, what stands between
