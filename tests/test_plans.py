@@ -115,3 +115,44 @@ def test_bills_are_made_once(spark, sf_dir, name):
     run = plan_text(frame, "simple").split("Initial Plan")[0]
     twice = name in ("consumption_anomaly", "duplicate_bills")
     assert run.count("lineitem.parquet") == (0 if twice else 1)
+
+
+@pytest.mark.parametrize("name", ["bill_exact_dedup", "bill_extract", "extracted_layout", "quarantine_split"])
+def test_generated_methods_are_small_enough_to_be_compiled(spark, sf_dir, settings, name):
+    """The JVM interprets methods of more than 8,000 bytes for ever."""
+    settings(spark__sql__adaptive__enabled="false")
+    plan = driver.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan()
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    stages = debug.codegenStringSeq(plan)
+    sizes = [stages.apply(k)._3().maxMethodCodeSize() for k in range(stages.size())]
+    assert sizes and max(sizes) < 8_000
+
+
+def test_a_replayed_batch_reads_its_bills_stored(spark, sf_dir, monkeypatch):
+    from wattledger.plans import queries as Q
+
+    plans, write = [], Q.J.write_judged
+
+    def spy(bills, *where):
+        plans.append(plan_text(bills, "simple"))
+        return write(bills, *where)
+
+    monkeypatch.setattr(Q.J, "write_judged", spy)
+    driver.queries()["quarantine_replay"](spark, sf_dir)
+    assert len(plans) == 2 and not any("lineitem.parquet" in plan for plan in plans)
+
+
+def test_a_batch_of_figures_is_read_by_several_tasks(spark, sf_dir, settings, monkeypatch):
+    from wattledger.plans import queries as Q
+
+    feeds, measure = [], Q.G.measure_each_batch
+
+    def spy(feed, target, *rest):
+        stored = spark.read.parquet(target.replace("/bills", "/feed"))
+        feeds.append(len(stored.inputFiles()))
+        return measure(feed, target, *rest)
+
+    monkeypatch.setattr(Q.G, "measure_each_batch", spy)
+    settings(spark__sql__files__maxPartitionBytes="50000")
+    driver.queries()["batch_figures"](spark, sf_dir)
+    assert feeds[0] >= 6
