@@ -117,6 +117,15 @@ def test_bills_are_made_once(spark, sf_dir, name):
     assert run.count("lineitem.parquet") == (0 if twice else 1)
 
 
+@pytest.mark.parametrize("name", ["period_gaps", "period_overlaps"])
+def test_periods_read_their_bills_once(spark, sf_dir, name):
+    """The sweep reads its periods twice; what made them is shuffled once."""
+    frame = driver.queries()[name](spark, sf_dir)
+    frame.collect()
+    run = plan_text(frame, "simple").split("Initial Plan")[0]
+    assert run.count("SortMergeJoin [l_orderkey") == 1
+
+
 @pytest.mark.parametrize("name", ["bill_exact_dedup", "bill_extract", "extracted_layout", "quarantine_split"])
 def test_generated_methods_are_small_enough_to_be_compiled(spark, sf_dir, settings, name):
     """The JVM interprets methods of more than 8,000 bytes for ever."""

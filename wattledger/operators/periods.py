@@ -24,6 +24,9 @@ def swept_periods(bills: DataFrame) -> DataFrame:
         .groupBy(*GROUP, "bill_start_date", "bill_end_date")
         .agg(F.count(F.lit(1)).alias("bills"), F.min("bill_id").alias("first_bill_id"))
         .withColumn("_month", F.trunc("bill_start_date", "month"))
+        # Valid periods have one. The join below would ask for it on one side only, and bills that
+        # are filtered in two ways are made twice.
+        .where(F.col("_month").isNotNull())
     )
     months = periods.groupBy(*GROUP, "_month").agg(F.max("bill_end_date").alias("_end"))
     by_month = Window.partitionBy(*GROUP).orderBy("_month")
