@@ -5,6 +5,7 @@ from conftest import plan_text
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
+from wattledger.functions.values import AMOUNT
 from wattledger.operators import bills as B
 from wattledger.operators import reports as R
 from wattledger.operators.meters import dedup_intervals
@@ -126,6 +127,16 @@ def test_periods_read_their_bills_once(spark, sf_dir, name):
     assert run.count("SortMergeJoin [l_orderkey") == 1
 
 
+def test_an_amount_is_read_once(spark, sf_dir):
+    plan = I.typed_bills(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(AMOUNT) == 4
+
+
+def test_lookups_are_not_copied_for_the_join(spark, sf_dir):
+    enriched = plan_text(I.enriched_bills(spark, sf_dir), "simple")
+    assert "_part#" not in enriched and "explode(sequence(0, 7" not in enriched
+
+
 @pytest.mark.parametrize("name", ["bill_exact_dedup", "bill_extract", "extracted_layout", "quarantine_split"])
 def test_generated_methods_are_small_enough_to_be_compiled(spark, sf_dir, settings, name):
     """The JVM interprets methods of more than 8,000 bytes for ever."""
