@@ -1,5 +1,7 @@
 """The plans are the ones meant: what is read, what moves, and what happens to a hot key."""
 
+import re
+
 import pytest
 from conftest import plan_text
 from pyspark.sql import functions as F
@@ -137,6 +139,13 @@ def test_lookups_are_not_copied_for_the_join(spark, sf_dir):
     assert "_part#" not in enriched and "explode(sequence(0, 7" not in enriched
 
 
+def test_outliers_shuffle_whole_bills_once(spark, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    bills = hot_bills(spark).select("vendor_id", "commodity", "source_file", "bill_id", "consumption")
+    plan = plan_text(R.robust_outliers(bills))
+    assert len(re.findall(r"\) Exchange\nInput \[\d+\]: \[[^\]]*source_file", plan)) == 1
+
+
 @pytest.mark.parametrize("name", ["bill_exact_dedup", "bill_extract", "extracted_layout", "quarantine_split"])
 def test_generated_methods_are_small_enough_to_be_compiled(spark, sf_dir, settings, name):
     """The JVM interprets methods of more than 8,000 bytes for ever."""
