@@ -4,6 +4,7 @@ import re
 
 import pytest
 from conftest import plan_text
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
@@ -146,6 +147,18 @@ def test_outliers_shuffle_whole_bills_once(spark, settings):
     assert len(re.findall(r"\) Exchange\nInput \[\d+\]: \[[^\]]*source_file", plan)) == 1
 
 
+def test_landed_files_are_moved_by_their_tasks(spark, tmp_path, monkeypatch):
+    options, option = {}, DataFrameWriter.option
+    monkeypatch.setattr(DataFrameWriter, "option", lambda w, k, v: options.update({k: v}) or option(w, k, v))
+    rows = spark.range(30).select(
+        F.col("id").cast("string").alias("text"), (F.col("id") % 2).alias("bill_type"), F.lit("v").alias("vendor_id")
+    )
+    for _ in range(2):
+        I.land(spark, rows, f"{tmp_path}/files")
+    assert sorted(int(r.value) for r in spark.read.text(f"{tmp_path}/files").collect()) == sorted([*range(30)] * 2)
+    assert options["mapreduce.fileoutputcommitter.algorithm.version"] == 2
+
+
 @pytest.mark.parametrize("name", ["bill_exact_dedup", "bill_extract", "extracted_layout", "quarantine_split"])
 def test_generated_methods_are_small_enough_to_be_compiled(spark, sf_dir, settings, name):
     """The JVM interprets methods of more than 8,000 bytes for ever."""
