@@ -5,6 +5,7 @@ import re
 
 import pytest
 from conftest import plan_text
+from pyspark.sql import functions as F
 
 from wattledger.operators import linkage as L
 from wattledger.plans import inputs as I
@@ -130,3 +131,33 @@ def test_pairs_come_from_equal_keys(spark):
         alone = {r["key"] for r in rows if " " not in r["key"]}
         assert hot > 1 or not any(key.startswith("hot") for key in alone)
     assert counted[1] < counted[10_000]
+
+
+def test_pairs_of_words_that_many_sets_hold_are_no_key(spark):
+    """A third word is."""
+    rows = [(f"B{k}", f"New n{k} m{k % 6}", f"o{k % 7} p{k % 5}, York") for k in range(300)]
+    bills, known = frames(spark, [row[1:] for row in rows], rows)
+    sets = [f.select(L.word_set(*L.PARTY).alias("words")) for f in (bills, known)]
+    frequency = sets[0].unionAll(sets[1]).selectExpr("explode(words) AS word").groupBy("word").agg(
+        F.count(F.lit(1)).alias("sets")
+    )
+    left, right = [L._ranked(side, frequency).select(F.lit(k == 0).alias("left"), "ranked") for k, side in enumerate(sets)]
+    ranked = left.unionAll(right)
+    keys = ranked.select(F.explode(L._keys(F.col("ranked"), 0.7, 10)).alias("key")).groupBy("key").count()
+    assert keys.agg(F.max("count")).first()[0] > 10
+    kept = L._keyed(ranked, 0.7, 10).groupBy("key").count()
+    assert kept.agg(F.max("count")).first()[0] <= 10
+    links = L.link_buildings(bills, known, hot=10).collect()
+    assert {r.building_id for r in links} == {row[0] for row in rows}
+
+
+def test_words_of_one_table_are_no_keys(spark):
+    bills, known = frames(spark, [(f"x{k} y", None) for k in range(30)], [(f"B{k}", f"z{k} y", None) for k in range(30)])
+    assert {r.link for r in L.link_buildings(bills, known, 0.51, 0).collect()} == {"UNMATCHED"}
+
+
+def test_bills_are_searched_for_words_once(spark, tmp_path):
+    bills, known = frames(spark, *some_rows(3))
+    bills.write.parquet(f"{tmp_path}/bills")
+    links = L.link_buildings(spark.read.parquet(f"{tmp_path}/bills"), known)
+    assert f"{tmp_path}/bills" not in plan_text(links)

@@ -7,8 +7,13 @@ threshold; pairs are found by prefix filtering, which misses none:
   `need(a)` words, and so one among the first a - need(a) + 1 of each, and two among the first
   a - need(a) + 2.
 - Where the rarest shared word is not hot, it is a key of both sets by itself. Where it is hot,
-  every other shared word is, too, so pairs of a hot word with another one are keys. A word that
+  every other shared word is, too, so pairs of a hot word with a commoner one are keys. A word that
   much of the table holds ("street") is never a key by itself, however large the table.
+- A pair of words that is hot itself is a key together with a third one, three hot ones with a
+  fourth, and so on: two sets share three among the first a - need(a) + 3 of each, and so on. Keys
+  are counted for it, so words that often go together ("new york") are followed, too.
+- Words and keys that only one of the tables has are shared by no two sets. Such words come first
+  in the order, where they take the places of words that could be keys.
 - Sets that share a key and whose sizes allow it are compared in full.
 
 Equal sets are one row on either side before anything is joined, so a customer that much of the
@@ -16,11 +21,14 @@ bills name costs one comparison. Parties and words grow with the bills, and rows
 times larger than the columns they are made of, by which Spark estimates: all joins are shuffled.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattledger.operators.bills import bill_columns
-from wattledger.operators.joins import join_lookup
+from wattledger.operators.joins import dealt_anew, join_lookup
+from wattledger.session import stored
 
 PARTY = ("customer_name", "service_address")
 THRESHOLD = 0.7
@@ -52,22 +60,24 @@ def _ranked(sets: DataFrame, frequency: DataFrame) -> DataFrame:
     )
 
 
+def _need(size: Column, threshold: float) -> Column:
+    """The least number of words that a set shares with any similar one; rounding must not raise it."""
+    return F.ceil(F.lit(threshold) * size - 1e-9).cast("int")
+
+
 def _keys(ranked: Column, threshold: float, hot: int) -> Column:
-    """The keys of a set, by prefix filtering."""
+    """The keys of a set of one and two words, by prefix filtering."""
     size = F.size(ranked)
-    # The least number of words shared with any similar set; rounding must not raise it.
-    need = F.ceil(F.lit(threshold) * size - 1e-9).cast("int")
+    need = _need(size, threshold)
     first = F.slice(ranked, F.lit(1), size - need + 1)
     second = F.slice(ranked, F.lit(1), F.least(size - need + 2, size))
-    rare = F.transform(F.filter(first, lambda w: w["sets"] <= hot), lambda w: w["word"])
+    rare = F.transform(F.filter(first, lambda w: w["sets"].between(1, hot)), lambda w: w["word"])
     pairs = F.flatten(
         F.transform(
-            F.filter(first, lambda w: w["sets"] > hot),
-            lambda w: F.transform(
-                F.filter(second, lambda other: other["word"] != w["word"]),
-                lambda other: F.concat_ws(
-                    " ", F.least(w["word"], other["word"]), F.greatest(w["word"], other["word"])
-                ),
+            first,
+            lambda w, at: F.transform(
+                F.filter(second, lambda _, place: (w["sets"] > hot) & (place > at)),
+                lambda other: F.concat_ws(" ", w["word"], other["word"]),
             ),
         )
     )
@@ -78,6 +88,53 @@ def _keys(ranked: Column, threshold: float, hot: int) -> Column:
     return F.array_distinct(F.concat(rare, pairs, alone))
 
 
+def _longer(threshold: float, words: int) -> Column:
+    """A set's keys of `words` words that begin with its `key` of one word less: one more of its
+    words, in their order. A set similar to one that shares more words than itself needs has them
+    anywhere."""
+    size = F.size("ranked")
+    last = F.array_position("ranked", F.element_at(F.split("key", " "), -1)).cast("int")
+    window = F.least(size - _need(size, threshold) + words, size)
+    return F.transform(
+        F.slice("ranked", last + 1, F.greatest(window - last, F.lit(0))),
+        lambda word: F.concat_ws(" ", "key", word),
+    )
+
+
+def _keyed(sets: DataFrame, threshold: float, hot: int) -> DataFrame:
+    """left, ranked, key: the sets of two tables (`left` or not; `ranked`: words with the number of
+    sets that hold them) under keys that both tables have and that are not hot, or can't be longer."""
+    keyed = stored(
+        sets.select(
+            "left", "ranked", F.explode(_keys(F.col("ranked"), threshold, hot)).alias("key")
+        ).withColumn("ranked", F.col("ranked.word")),
+        "keyed",
+    )
+    kept, words = [], 2
+    while True:
+        counts = (
+            keyed.groupBy("key")
+            .agg(F.count_if("left").alias("_left"), F.count_if(~F.col("left")).alias("_right"))
+            .where("_left > 0 and _right > 0")
+        )
+        long = F.size(F.split("key", " ")) == words
+        is_hot = long & ~F.startswith("key", F.lit(" ")) & (F.col("_left") + F.col("_right") > hot)
+        counted = stored(
+            join_lookup(keyed, dealt_anew(counts).hint("merge"), "key", "inner").select(
+                "left", "ranked", "key", is_hot.alias("hot")
+            ),
+            "counted",
+        )
+        # Sets that need no more words than the key has are similar under it at the latest.
+        ended = _need(F.size("ranked"), threshold) <= words
+        kept.append(counted.where(~F.col("hot") | ended).drop("hot"))
+        open_ = counted.where("hot")
+        if open_.isEmpty():
+            return reduce(DataFrame.unionAll, kept)
+        words += 1
+        keyed = open_.select("left", "ranked", F.explode(_longer(threshold, words)).alias("key"))
+
+
 def similar_sets(
     left: DataFrame, right: DataFrame, threshold: float = THRESHOLD, hot: int = HOT_SETS
 ) -> DataFrame:
@@ -85,27 +142,36 @@ def similar_sets(
     equal within a table counted once, that reach the threshold."""
     if not 0.5 < threshold <= 1:
         raise ValueError("threshold must be above one half, at most 1")
-    sides = [side.select("words").where(F.size("words") > 0).distinct() for side in (left, right)]
-    both = sides[0].unionAll(sides[1])
-    frequency = both.select(F.explode("words").alias("word")).groupBy("word").agg(
-        F.count(F.lit(1)).alias("sets")
-    )
-    keyed = [
-        _ranked(side, frequency).select(
-            F.col("words").alias(f"{name}_words"),
-            F.explode(_keys(F.col("ranked"), threshold, hot)).alias("key"),
+    sides = [
+        stored(side.select("words").where(F.size("words") > 0).distinct(), "sets").select(
+            F.lit(is_left).alias("left"), "words"
         )
-        for name, side in zip(("left", "right"), sides)
+        for is_left, side in ((True, left), (False, right))
+    ]
+    held = sides[0].unionAll(sides[1]).select("left", F.explode("words").alias("word"))
+    # A word of one table only is held by no two sets that are compared.
+    shared_by = F.when(F.count_if("left") * F.count_if(~F.col("left")) > 0, F.count(F.lit(1)))
+    frequency = held.groupBy("word").agg(F.coalesce(shared_by, F.lit(0)).alias("sets"))
+    ranked = [
+        _ranked(side, frequency).select(F.lit(is_left).alias("left"), "ranked")
+        for is_left, side in zip((True, False), sides)
+    ]
+    keyed = _keyed(ranked[0].unionAll(ranked[1]), threshold, hot)
+    of_side = [
+        keyed.where(F.col("left") == is_left).select(F.col("ranked").alias(f"{name}_words"), "key")
+        for name, is_left in (("left", True), ("right", False))
     ]
     a, b = F.size("left_words"), F.size("right_words")
     shared = F.size(F.array_intersect("left_words", "right_words"))
     similarity = shared / (a + b - shared)
+    in_order = [F.array_sort(name).alias(name) for name in ("left_words", "right_words")]
     return (
-        keyed[0]
-        .join(keyed[1].hint("merge"), "key")
+        of_side[0]
+        .join(of_side[1].hint("merge"), "key")
         .where(F.least(a, b) >= threshold * F.greatest(a, b) - 1e-9)
         .select("left_words", "right_words", similarity.alias("similarity"))
         .where(F.col("similarity") >= threshold)
+        .select(*in_order, "similarity")
         .distinct()
     )
 
@@ -120,13 +186,14 @@ def link_buildings(
     buildings: building_id and the columns of PARTY; a building may be listed under several
     names. A bill without any word in these columns has no party.
     """
-    parties = (
-        bills.select(word_set(*PARTY).alias("words"), party_key(*PARTY).alias("party"))
-        .where("party is not null")
-        .distinct()
-    )
-    known = buildings.where("building_id is not null").select(
-        word_set(*PARTY).alias("right_words"), "building_id"
+    # Words are looked for in every bill once.
+    words = bills.select(word_set(*PARTY).alias("words")).where(F.size("words") > 0)
+    parties = stored(words.distinct(), "parties")
+    known = stored(
+        buildings.where("building_id is not null").select(
+            word_set(*PARTY).alias("right_words"), "building_id"
+        ),
+        "known",
     )
     pairs = similar_sets(parties, known.withColumnRenamed("right_words", "words"), threshold, hot)
     # One building may be found under several of its names: its best one counts.
@@ -145,7 +212,7 @@ def link_buildings(
     )
     several = F.col("candidates") > 1
     return (
-        parties.select("party")
+        parties.select(F.array_join("words", " ").alias("party"))
         .join(best.hint("merge"), "party", "left")
         .select(
             "party",

@@ -8,9 +8,9 @@ document, and a copied row is made beside its original in the same scan.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattledger import session
 from wattledger.operators.bills import add_buildings, add_vendors, drop_exact_copies, type_bills
 from wattledger.operators.elements import parse_lines
-from wattledger.session import new_folder
 
 VENDOR_CODES = ("CPC001", "REC002", "MGU001", "NGS002", "AMW001")
 
@@ -142,9 +142,7 @@ def enriched_bills(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
     """Rows written to the shared folder and read from there, for a report that reads its
     bills twice: what made them then runs once."""
-    folder = new_folder(spark, label)
-    rows.write.parquet(folder)
-    return spark.read.schema(rows.schema).parquet(folder)
+    return session.stored(rows, label)
 
 
 def meter_reads(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -49,3 +49,12 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder; nothing is created until Spark writes there."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(rows: DataFrame, label: str) -> DataFrame:
+    """Rows written to the shared folder and read from there, for what is read several times:
+    what made them then runs once."""
+    spark = rows.sparkSession
+    folder = new_folder(spark, label)
+    rows.write.parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder)
