@@ -120,3 +120,14 @@ def test_few_leaves_are_opened_where_boxes_tell(spark):
     opened = hard_negatives.search(tree, made_queries(rng, 1, 2), True, lists)
     assert opened < len(tree.bounds) / 4
     assert len(lists.heaps[(0, 0)]) == 5
+
+
+def test_copies_of_blocks_are_never_broadcast(spark, sf_dir):
+    """Blocks of queries and trees are there once for each row or column of the grid, which the
+    estimates by which Spark broadcasts a table leave out."""
+    from conftest import plan_text
+
+    import __spark_entry__ as driver
+
+    for name in ("op3_vector_search", "op11_hard_negatives"):
+        assert "Broadcast" not in plan_text(driver.queries()[name](spark, sf_dir)), name

@@ -1,8 +1,9 @@
 """Vectors in blocks, and every block of queries beside every block of candidates.
 
-A block is one row: some hundred vectors of one length as packed numbers. Candidate blocks
-are dealt over shards; a copy of each query block goes to every shard, so the work of a shard
-is its candidates times all queries and no task holds more than two blocks and its lists.
+A block is one row: some hundred vectors of one length as packed numbers. Both kinds of blocks
+are dealt to the cells of a grid, in which each query block meets each candidate block once: what
+is shuffled grows with the root of the number of cells, and no task holds more than two blocks and
+its lists. Copies are shuffled, never broadcast: Spark would estimate them without their number.
 """
 
 from __future__ import annotations
@@ -128,11 +129,22 @@ def block_join(
     score: str = "double",
 ) -> DataFrame:
     """query_id, vec_id, score: what `tile` found good in each pair of blocks, at most `count`
-    per query, task and HELD_QUERIES queries. tile(query block, candidate block, lists)."""
-    spread = queries.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    pairs = spread.select(
-        "dim", "shard", *[F.col(c).alias(f"q_{c}") for c in ("ids", "numbers", "extra")]
-    ).join(candidates, ["dim", "shard"])
+    per query, task and HELD_QUERIES queries. tile(query block, candidate block, lists). queries
+    and candidates: stored tables of pack(), dealt to about `shards` cells."""
+    held = [
+        table.agg(F.sum(F.octet_length("ids")) / 8).first()[0] or 0 for table in (candidates, queries)
+    ]
+    columns, rows = grid(shards, *held)
+    asking = queries.withColumn("column", every(columns)).withColumn(
+        "cell", F.pmod("shard", F.lit(rows)) * columns + F.col("column")
+    )
+    asked = candidates.withColumn("row", every(rows)).withColumn(
+        "cell", F.col("row") * columns + F.pmod("shard", F.lit(columns))
+    )
+    parts = ("ids", "numbers", "extra")
+    pairs = asking.select("dim", "cell", *[F.col(c).alias(f"q_{c}") for c in parts]).join(
+        asked.select("dim", "cell", *parts).hint("merge"), ["dim", "cell"]
+    )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best, score_type = Best(count), {"double": pa.float64(), "long": pa.int64()}[score]

@@ -25,8 +25,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattledger.llm import blocks as B
+from wattledger.llm.stored import stored
 
 LEVELS = 127
+#: Blocks are told apart by a number below this, by which they are dealt.
+DEALT = 1 << 20
 #: Allowance for the rounding of the bound's own arithmetic.
 SLACK = 1e-9
 
@@ -108,8 +111,8 @@ def nearest(vectors: DataFrame, is_query: Column, count: int = 5, vector: str =
             best.add(int(queries.ids[q]), [(s, -i) for s, i in zip(scores[part].tolist(), ids)])
 
     lists = B.block_join(
-        B.pack(asking, B.QUERY_ROWS, 1),
-        B.pack(read, B.CANDIDATE_ROWS, shards),
+        stored(B.pack(asking, B.QUERY_ROWS, DEALT), "queries"),
+        stored(B.pack(read, B.CANDIDATE_ROWS, DEALT), "candidates"),
         shards,
         count,
         tile,
