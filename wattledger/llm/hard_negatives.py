@@ -368,7 +368,8 @@ def best_products(trees: DataFrame, queries: DataFrame, count: int, same_label:
     dealt_queries = queries.withColumn("column", every(columns)).withColumn(
         "cell", F.pmod(F.xxhash64("cell"), F.lit(rows)) * columns + F.col("column")
     )
-    pairs = dealt_queries.drop("column").join(dealt_trees.drop("row"), ["cell", "dim"])
+    # Shuffled: Spark would estimate the copies without their number, and broadcast them.
+    pairs = dealt_queries.drop("column").join(dealt_trees.drop("row").hint("merge"), ["cell", "dim"])
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lists = Lists(count)
@@ -434,7 +435,7 @@ def mine(
         .select("anchor_id", F.col("positive_score").alias("window"), cut(least).alias("low"),
                 cut(most).alias("high"))
         .where(F.col("low") <= F.col("high"))
-        .join(anchors, "anchor_id")
+        .join(anchors.hint("merge"), "anchor_id")
     )
     negative = best_products(trees, stored(pack_queries(windows), "queries"), negatives, False)
     return positive.join(
@@ -444,6 +445,6 @@ def mine(
             "rank",
             F.col("vec_id").alias("negative_id"),
             F.col("score").alias("negative_score"),
-        ),
+        ).hint("merge"),
         ["anchor_id", "positive_score"],
     ).select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
