@@ -198,3 +198,15 @@ def test_a_batch_of_figures_is_read_by_several_tasks(spark, sf_dir, settings, mo
     settings(spark__sql__files__maxPartitionBytes="50000")
     driver.queries()["batch_figures"](spark, sf_dir)
     assert feeds[0] >= 6
+
+
+
+def test_duplicates_are_found_once(spark, settings, tmp_path):
+    """The bills found are read twice, and what is joined to all bills is known to be small."""
+    bills = hot_bills(spark).withColumn("building_id", F.col("bill_id")).unionAll(
+        hot_bills(spark).limit(5).withColumns({"building_id": F.lit("B7"), "bill_id": F.lit("other")})
+    )
+    bills.write.parquet(f"{tmp_path}/bills")
+    found = B.duplicate_bills(spark.read.parquet(f"{tmp_path}/bills"))
+    assert {r.bill_id for r in found.collect()} == {"B7", "other"}
+    assert f"{tmp_path}/bills" not in plan_text(found)

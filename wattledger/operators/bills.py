@@ -32,6 +32,7 @@ from wattledger.operators.joins import (
     one_per_key,
 )
 from wattledger.schemas import AMOUNTS, CLEAN_BILL, EXTRACTED_BILL
+from wattledger.session import stored
 
 INGESTION_TIMES = ("ingestion_ts", "silver_ingestion_ts")
 PERIOD_KEYS = ("building_id", "commodity", "bill_start_date", "bill_end_date")
@@ -197,8 +198,9 @@ def duplicate_bills(bills: DataFrame, spread_by: Sequence[str] = ("bill_id",)) -
 
     Rows without a building, a date or an ID cannot be told apart and are left out. The
     groups are found by an aggregate (not a window, which would put a whole group into
-    one task) and only the offending ones are joined back. The bills are read twice: pass a
-    stored table.
+    one task) and only the offending ones are joined back. They are stored first: Spark then knows
+    how few they are, and shuffles all bills for them only if they are many. So are the bills found,
+    which are read twice. The bills are read twice, too: pass a stored table.
     """
     known = bills.dropna(subset=[*PERIOD_KEYS, "bill_id"])
     # Numbers stand for the IDs, so that groups are kept in a hash table while they are counted;
@@ -214,7 +216,8 @@ def duplicate_bills(bills: DataFrame, spread_by: Sequence[str] = ("bill_id",)) -
         .where(F.col("low") != F.col("high"))
         .drop("low", "high")
     )
-    found = join_groups(known, groups, PERIOD_KEYS, spread_by)
+    groups = stored(groups, "duplicate_groups")
+    found = stored(join_groups(known, groups, PERIOD_KEYS, spread_by), "duplicates")
     ends = found.groupBy(*PERIOD_KEYS).agg(
         F.min("bill_id").alias("first_bill_id"), F.max("bill_id").alias("last_bill_id")
     )

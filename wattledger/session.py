@@ -1,5 +1,6 @@
 """Session settings, and the shared folder that streams and checkpoints work in."""
 
+import gc
 import tempfile
 import uuid
 
@@ -53,8 +54,17 @@ def new_folder(spark: SparkSession, label: str) -> str:
 
 def stored(rows: DataFrame, label: str) -> DataFrame:
     """Rows written to the shared folder and read from there, for what is read several times:
-    what made them then runs once."""
+    what made them then runs once. The shuffle files behind them are of no more use, and go from
+    the disk when the JVM has collected what names them, which it is asked to do."""
     spark = rows.sparkSession
-    folder = new_folder(spark, label)
+    folder, schema = new_folder(spark, label), rows.schema
     rows.write.parquet(folder)
-    return spark.read.schema(rows.schema).parquet(folder)
+    free_shuffles(spark)
+    return spark.read.schema(schema).parquet(folder)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of what has ended; otherwise those of all steps of a
+    job may stay on disk until the last one ends."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
