@@ -210,3 +210,15 @@ def test_duplicates_are_found_once(spark, settings, tmp_path):
     found = B.duplicate_bills(spark.read.parquet(f"{tmp_path}/bills"))
     assert {r.bill_id for r in found.collect()} == {"B7", "other"}
     assert f"{tmp_path}/bills" not in plan_text(found)
+
+
+
+def test_only_bills_that_meters_read_are_stored(spark, sf_dir, monkeypatch):
+    from wattledger.operators import meters
+
+    kept, keep = [], meters.stored
+    monkeypatch.setattr(meters, "stored", lambda rows, label: kept.append(rows) or keep(rows, label))
+    driver.queries()["metered_vs_billed"](spark, sf_dir)
+    plan = kept[0]._jdf.queryExecution().optimizedPlan().toString()
+    # Others are left out below the aggregate that drops copies.
+    assert len(kept) == 1 and "electricity" in plan[plan.index("Aggregate") :].split("Filter", 1)[1]

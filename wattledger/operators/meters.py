@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from wattledger.functions.quality import valid_period
 from wattledger.functions.values import flag, money
+from wattledger.session import stored
 
 METER_KEY = ("timestamp", "meter_id")
 
@@ -87,11 +88,13 @@ def metered_vs_billed(bills: DataFrame, reads: DataFrame) -> DataFrame:
     it: `metered_kwh` and the `difference` (billed less metered; both null without a reading),
     `readings`, `missing_readings` (0 without any) and `metered_days`.
 
-    Bills of equal periods share one sum. The bills are read twice: pass a stored table.
+    Bills of equal periods share one sum. The bills are read twice, so those that are meant are
+    stored: Spark leaves out the others where they are made, before it shuffles any.
     """
-    billed = bills.where(
+    meant = bills.where(
         (F.col("commodity") == "electricity") & F.col("building_id").isNotNull() & valid_period()
     )
+    billed = stored(meant, "billed")
     keys = ["building_id", "bill_start_date", "bill_end_date"]
     counts = ("readings", "missing_readings", "metered_days")
     joined = billed.join(metered_periods(billed.select(*keys), reads), keys, "left")

@@ -693,7 +693,7 @@ def bill_months(spark, sf_dir):
 
 @query
 def metered_vs_billed(spark, sf_dir):
-    needed = I.stored(spark, _mapped_bills(spark, sf_dir, "source_file", "consumption"), "billed")
+    needed = _mapped_bills(spark, sf_dir, "source_file", "consumption")
     reads = dedup_intervals(I.meter_history(spark, sf_dir))
     return M.metered_vs_billed(needed, reads).drop("commodity")
 
