@@ -222,3 +222,12 @@ def test_only_bills_that_meters_read_are_stored(spark, sf_dir, monkeypatch):
     plan = kept[0]._jdf.queryExecution().optimizedPlan().toString()
     # Others are left out below the aggregate that drops copies.
     assert len(kept) == 1 and "electricity" in plan[plan.index("Aggregate") :].split("Filter", 1)[1]
+
+
+
+def test_a_feed_is_cut_while_it_is_written(spark, sf_dir, monkeypatch):
+    frame = type(spark.range(1))
+    dealt, deal = [], frame.repartition
+    monkeypatch.setattr(frame, "repartition", lambda rows, *by: dealt.append(by) or deal(rows, *by))
+    driver.queries()["batch_figures"](spark, sf_dir)
+    assert not dealt
