@@ -200,6 +200,27 @@ def test_a_batch_of_figures_is_read_by_several_tasks(spark, sf_dir, settings, mo
     assert feeds[0] >= 6
 
 
+@pytest.mark.parametrize("hot", [True, False])
+def test_months_are_cut_after_bills_were_gathered(spark, settings, hot):
+    """Parts of bills are not shuffled; those of a store that holds much are not one task's."""
+    from wattledger.operators.allocation import allocate_months
+    from wattledger.operators.joins import gathered
+
+    small_partitions(settings)
+    bills = hot_bills(spark).drop("source_file").withColumn("bill_end_date", F.date_add("bill_start_date", 900))
+    bills = bills if hot else bills.where("store_id != 'hot'").withColumn("store_id", F.substring("bill_id", 1, 4))
+    parts = allocate_months(gathered(bills, "store_id", "commodity"))
+    trend = R.usage_trend(parts)
+    rows = trend.collect()
+    plan = plan_text(trend, "simple").split("Initial Plan")[0]
+    assert ("_dealt" in plan) == hot
+    if hot:
+        assert "skewed" in plan and len(rows) == 40_001 * 30
+    else:
+        assert len(re.findall(r"Exchange hash", plan)) == 1
+    plain = {tuple(r) for r in R.usage_trend(allocate_months(bills)).collect()}
+    assert {tuple(r) for r in rows} == plain
+
 
 def test_duplicates_are_found_once(spark, settings, tmp_path):
     """The bills found are read twice, and what is joined to all bills is known to be small."""
@@ -212,7 +233,6 @@ def test_duplicates_are_found_once(spark, settings, tmp_path):
     assert f"{tmp_path}/bills" not in plan_text(found)
 
 
-
 def test_only_bills_that_meters_read_are_stored(spark, sf_dir, monkeypatch):
     from wattledger.operators import meters
 
@@ -224,7 +244,6 @@ def test_only_bills_that_meters_read_are_stored(spark, sf_dir, monkeypatch):
     assert len(kept) == 1 and "electricity" in plan[plan.index("Aggregate") :].split("Filter", 1)[1]
 
 
-
 def test_a_feed_is_cut_while_it_is_written(spark, sf_dir, monkeypatch):
     frame = type(spark.range(1))
     dealt, deal = [], frame.repartition
